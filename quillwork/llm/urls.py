@@ -3,7 +3,7 @@
 Two smoothed variable-order Markov models over characters (Witten-Bell interpolation from the longest
 context down to a uniform base) are counted over all URLs that the rules accept and reject. A URL that no
 rule decides is judged by the difference of its log-likelihoods per character against a threshold
-calibrated on the rule-decided URLs.
+calibrated on a fifth of the rule-decided URLs that the models do not count.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from quillwork.llm.shared import ascii_lower, stash
 
 #: Copies of the gram table that a hot gram is dealt over.
 SALTS = 16
+FOLDS = 5
 
 
 @dataclass(frozen=True)
@@ -50,11 +51,16 @@ def _by_rule(rules: UrlRules, host: Column, path: Column, value) -> Column:
     return out
 
 
+def _fold() -> Column:
+    """One in FOLDS of the rule-decided texts is not counted: the threshold is calibrated on these."""
+    return F.pmod(F.xxhash64("text"), F.lit(FOLDS))
+
+
 def gram_ratios(texts: DataFrame, order: int) -> DataFrame:
     """texts: distinct (text, verdict of a rule or null). Returns (gram, llr): log P(accepted) - log P(rejected) of the
     last character of each gram of `order` characters after the others."""
     padded = F.concat(F.lit("\u0002" * (order - 1)), "text", F.lit("\u0003"))
-    grams = texts.select("verdict", F.explode(F.transform(F.sequence(F.lit(1), F.length("text") + 1), lambda i: F.substr(padded, i, F.lit(order)))).alias("gram"))
+    grams = texts.select(F.when(_fold() != 0, F.col("verdict")).alias("verdict"), F.explode(F.transform(F.sequence(F.lit(1), F.length("text") + 1), lambda i: F.substr(padded, i, F.lit(order)))).alias("gram"))
     counted = grams.groupBy("gram").agg(
         F.sum(F.when(F.col("verdict") == "allow", 1).otherwise(0)).alias("a"), F.sum(F.when(F.col("verdict") == "block", 1).otherwise(0)).alias("r")
     )
@@ -79,7 +85,8 @@ def judge_urls(pages: DataFrame, rules: UrlRules = UrlRules(), url: str = "url",
     """(key, host, path, rule, verdict, score) for every row, repeated rows included.
 
     A null URL or one without '://' has an empty host and path, no rule and score 0 less the threshold. Empty tables
-    give empty results. Where the rules leave one of the two classes without a URL, every other URL is allowed.
+    give empty results. Where the rules leave one of the two classes without a URL to
+    calibrate on, every other URL is allowed.
     score: the log-likelihood ratio a character, less the calibrated threshold; null where a rule decides.
     """
     rows = pages.select(F.col(key).alias("key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
@@ -94,7 +101,7 @@ def judge_urls(pages: DataFrame, rules: UrlRules = UrlRules(), url: str = "url",
     ratios = ratios.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     scored = at.join(ratios, ["gram", "salt"]).groupBy("text").agg(F.round(F.sum("llr") / F.count(F.lit(1)), 9).alias("ratio"))
     scored = stash(scored.join(texts, "text"), "url-scores")
-    seen = {r["verdict"]: r for r in scored.where("verdict is not null").groupBy("verdict").agg(F.avg("ratio").alias("m"), F.coalesce(F.stddev_pop("ratio"), F.lit(0.0)).alias("s")).collect()}
+    seen = {r["verdict"]: r for r in scored.where(F.col("verdict").isNotNull() & (_fold() == 0)).groupBy("verdict").agg(F.avg("ratio").alias("m"), F.coalesce(F.stddev_pop("ratio"), F.lit(0.0)).alias("s")).collect()}
     if "allow" in seen and "block" in seen:
         a, b = seen["allow"], seen["block"]
         spread = a["s"] + b["s"]
