@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwork.llm import packing, urls
+from quillwork.llm import gam, packing, rules, secrets, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,14 +20,33 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return rules.judge_quality(table(spark, sf_dir, "documents"), labels.where("quality = 1 and toxic = 0").select("doc_id"))
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op5_pack": op5_pack, "op9_urls": op9_urls}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
+    "op4_quality": op4_quality,
+    "op5_pack": op5_pack,
+    "op7_rules": op7_rules,
+    "op9_urls": op9_urls,
+}
 ORACLE_SQL: dict[str, str] = {}
