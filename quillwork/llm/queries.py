@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwork.llm import gam, packing, rules, secrets, urls
+from quillwork.llm import decontam, gam, packing, rules, secrets, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,15 +42,35 @@ def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge_quality(table(spark, sf_dir, "documents"), labels.where("quality = 1 and toxic = 0").select("doc_id"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.fresh_folder(spark)
+    index = warc.write_bundles(table(spark, sf_dir, "pages"), folder)
+    return warc.read_bundles(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op3_decontam": op3_decontam,
     "op4_quality": op4_quality,
     "op5_pack": op5_pack,
     "op7_rules": op7_rules,
+    "op8_warc": op8_warc,
     "op9_urls": op9_urls,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n,
+                   max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
+            FROM pages
+        )
+        SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+        FROM p
+    """,
+}
