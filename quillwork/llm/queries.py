@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwork.llm import decontam, gam, packing, rules, secrets, urls, warc
+from quillwork.llm import decontam, gam, html_crf, packing, rules, secrets, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op10_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op3_decontam": op3_decontam,
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_rules": op7_rules,
     "op8_warc": op8_warc,
     "op9_urls": op9_urls,
+    "op10_extract": op10_extract,
 }
 ORACLE_SQL: dict[str, str] = {
     "op8_warc": """
