@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwork.llm import decontam, gam, html_crf, packing, rules, secrets, urls, warc
+from quillwork.llm import decontam, gam, html_crf, jaccard, packing, rules, secrets, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     return rules.judge_quality(table(spark, sf_dir, "documents"), labels.where("quality = 1 and toxic = 0").select("doc_id"))
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontam": op3_decontam,
     "op4_quality": op4_quality,
     "op5_pack": op5_pack,
+    "op6_jaccard": op6_jaccard,
     "op7_rules": op7_rules,
     "op8_warc": op8_warc,
     "op9_urls": op9_urls,
