@@ -99,7 +99,8 @@ def judge_urls(pages: DataFrame, rules: UrlRules = UrlRules(), url: str = "url",
     at = texts.select("text", F.explode(F.transform(F.sequence(F.lit(1), F.length("text") + 1), lambda i: F.substr(padded, i, F.lit(rules.order)))).alias("gram"))
     at = at.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
     ratios = ratios.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    scored = at.join(ratios, ["gram", "salt"]).groupBy("text").agg(F.round(F.sum("llr") / F.count(F.lit(1)), 9).alias("ratio"))
+    # Merge joins: the estimate from the compressed table is far too low for the exploded side to be broadcast safely.
+    scored = at.join(ratios.hint("merge"), ["gram", "salt"]).groupBy("text").agg(F.round(F.sum("llr") / F.count(F.lit(1)), 9).alias("ratio"))
     scored = stash(scored.join(texts, "text"), "url-scores")
     seen = {r["verdict"]: r for r in scored.where(F.col("verdict").isNotNull() & (_fold() == 0)).groupBy("verdict").agg(F.avg("ratio").alias("m"), F.coalesce(F.stddev_pop("ratio"), F.lit(0.0)).alias("s")).collect()}
     if "allow" in seen and "block" in seen:
@@ -110,7 +111,7 @@ def judge_urls(pages: DataFrame, rules: UrlRules = UrlRules(), url: str = "url",
         by_model = F.when(F.col("ratio") >= cut, F.lit("allow")).otherwise(F.lit("block"))
     else:
         cut, by_model = 0.0, F.lit("allow")
-    out = rows.join(scored.select("text", "ratio"), "text", "left")
+    out = rows.join(scored.select("text", "ratio").hint("merge"), "text", "left")
     return out.select(
         F.col("key").alias(key), "host", "path", "rule", F.coalesce(F.col("fixed"), by_model).alias("verdict"), F.when(F.col("fixed").isNull(), F.round(F.col("ratio") - cut, 9)).alias("score")
     )
