@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwork.llm import decontam, gam, html_crf, jaccard, packing, rules, secrets, urls, warc
+from quillwork.llm import decontam, gam, hpylm, html_crf, jaccard, packing, rules, secrets, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpylm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -62,6 +66,7 @@ def op10_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_lm": op2_lm,
     "op3_decontam": op3_decontam,
     "op4_quality": op4_quality,
     "op5_pack": op5_pack,

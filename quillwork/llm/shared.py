@@ -32,6 +32,14 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps now: it does so when the driver's JVM collects its garbage."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(column):
     """A-Z lower-cased, all else as it is."""
     return F.translate(column, *LOWER)
