@@ -1,15 +1,59 @@
-"""The corpus pipeline: quality, near duplicates, decontamination, secrets, packing."""
+"""The corpus pipeline over `documents`: quality, near duplicates, benchmark decontamination, secrets, packing.
+
+Each stage works on all that its predecessor kept and returns the columns of `documents`; the last returns the packed pieces.
+A stage's result is written as Parquet in the shared folder and read again as the next one's input.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillwork.llm import decontam, gam, jaccard, packing, secrets
+from quillwork.llm.queries import table, tokenizer_path
+from quillwork.llm.shared import stash
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the additive model, learnt from the labels, scores at its threshold or above."""
+    model = gam.train(docs, table(spark, sf_dir, "labels"))
+    name = "quality_score"
+    while name in docs.columns:
+        name += "_"
+    return gam.score(docs, model, name=name).where(F.col(name) >= gam.THRESHOLD).drop(name)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the least doc_id."""
+    return jaccard.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a copy, exact or edited, of a benchmark item."""
+    return decontam.drop_copies(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced by their kind, n_chars brought up to date."""
+    return secrets.redact(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces with their places in sequences of 2048 tokens."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("secrets", redaction), ("packing", packed)]
 
-STAGES: list = []
+#: SQL can't express these stages; tests/llm compares the run with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """All stages over the whole table; the packed pieces of the last."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = stash(docs, f"pipeline-{name}")
     return docs
