@@ -24,13 +24,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillwork.llm.shared import WordHashes, mix, release, slices, stash, words_of
+from quillwork.llm.shared import WordHashes, discard, mix, release, slices, stash, words_of
 
 #: Concentrations of the context restaurants and of the parent; the parent's discount. The context discount follows the counts.
 STRENGTH, ROOT_STRENGTH, ROOT_DISCOUNT = 1.0, 10.0, 0.5
 ROUNDS, BURN = 8, 4
-BLOCK_TOKENS, BUCKET_PAIRS = 4_000_000, 4_000_000
-END, START = 0xE5D, 0x57A27
+BLOCK_TOKENS, BUCKET_PAIRS = 2_000_000, 3_000_000
+#: Hashes of a text's end and of what stands before its first word; the latter sorts last.
+END, START = 0xE5D, 0xFFFFFFFFFFFFFFFF
 FOLDS, HELD = 7, 2
 
 
@@ -264,7 +265,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
         u, w = pairs // len(ws), pairs % len(ws)
         rows = [(to, "state", -1, packed(us, ws, np.bincount(u, minlength=len(us)).astype(np.int32), w.astype(np.int32), c.astype(np.int32)), int((c == 1).sum()), int((c == 2).sum()), int((c > 0).sum()))]
         for sender, places in zip(part["sender"], np.split(at.astype(np.int32), np.cumsum(sizes)[:-1]), strict=True):
-            rows.append((to, "places", int(sender), packed(places), 0, 0, 0))
+            rows.append((to, "places", int(sender), packed(np.diff(places, prepend=np.int32(0))), 0, 0, 0))  # ascending, as both sides sort by hash
         return _frame(rows)
 
     merged = stash(blocks.select("block", "data").mapInArrow(send, MESSAGE).groupBy("to").applyInPandas(merge, MESSAGE), "lm-pairs")
@@ -337,10 +338,10 @@ def score_texts(docs: DataFrame) -> DataFrame:
         rows = []
         for sender, data in zip(part["sender"], part["data"].where(part["kind"] == "places"), strict=True):
             if isinstance(data, bytes):
-                at = unpacked(data)[0]
-                own, places = np.unique(u[at], return_inverse=True)
+                at = np.cumsum(unpacked(data)[0], dtype=np.int64)
+                own = np.unique(u[at])
                 many = c[at] >= 2
-                rows.append((int(sender), "seats", to, packed(c[at].astype(np.int32), mean[at][many].astype(np.float32), total_t[own], total_c[own], us[own], np.bincount(places).astype(np.int32)), 0, 0, 0))
+                rows.append((int(sender), "seats", to, packed(c[at].astype(np.int32), mean[at][many].astype(np.float32), total_t[own].astype(np.float32), total_c[own].astype(np.int64)), 0, 0, 0))
         t = np.bincount(w, last, len(ws)).astype(np.int64)
         for k, at in _by_bucket(bucket, nb):
             rows.append((k, "words", to, packed(ws[at], t[at], np.bincount(w, c, len(ws)).astype(np.int64)[at]), int(t[at].sum()), 0, 0))
@@ -351,6 +352,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
     answers = asked.groupBy("to").applyInPandas(parent, MESSAGE)
     seated = stash(merged.unionByName(answers).groupBy("to").applyInPandas(gibbs, MESSAGE), "lm-seats")
+    discard(merged, asked)
     release(spark)
     customers = int(seated.where("kind = 'words'").agg(F.sum("a")).first()[0] or 0)
     shared: dict[int, np.ndarray] = {}
@@ -397,9 +399,11 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 k[at], n[at], t[at] = unpacked(data)
             elif kind == "seats":
                 at = wanted[sender]
-                cc, many, total_t, total_c, us, runs = unpacked(data)
+                cc, many, total_t, total_c = unpacked(data)
+                contexts, runs = np.unique(own.u[at], return_counts=True)
+                total_t, total_c, names = total_t.astype(float), total_c.astype(float), own.names[contexts].view(np.int64)
                 for h, total in shared.items():
-                    j = np.flatnonzero(us.view(np.int64) == h)
+                    j = np.flatnonzero(names == h)
                     total_t[j], total_c[j] = total
                 c[at] = cc
                 m = np.minimum(cc, 1).astype(float)

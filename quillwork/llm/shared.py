@@ -19,8 +19,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="quillwork-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="quillwork-"))
+        found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
@@ -29,7 +30,17 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillwork/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stashed = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stashed tables that nothing needs any more; later tables have been written, so no lineage leads back to them."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stashed)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
