@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillwork.llm.shared import WordHashes, mix, slices, stash, words_of
+from quillwork.llm.shared import WordHashes, discard, mix, release, slices, stash, words_of
 
 SHINGLE, PERCENT = 5, 80
 #: Buckets of the sketch of common shingles, and how often the mean a common bucket is filled (16 times at least).
@@ -104,30 +104,30 @@ def _each_set(batches: Iterator[pa.RecordBatch], column: int):
 
 
 def document_nodes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """A table (doc_id, n_shingles, node), node null for empty sets, and the sketch: how common each bucket is (0: not)."""
-    names, types = ["doc_id", "n_shingles", "node", "bucket", "filled"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+    """A table (doc_id, n_shingles, node, bits), node null for empty sets, and the sketch: how common each bucket is (0: not)."""
+    names, types = ["doc_id", "n_shingles", "node", "bits", "bucket", "filled"], [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.int64)
         for batch, a, b, sets in _each_set(batches, 1):
             nodes = [node_of(s) if len(s) else None for s in sets]
             n = len(sets)
-            yield _arrays([batch.column(0).slice(a, b - a).to_pylist(), list(map(len, sets)), nodes, [None] * n, [None] * n], types, names)
+            yield _arrays([batch.column(0).slice(a, b - a).to_pylist(), list(map(len, sets)), nodes, [signature(s) if len(s) else None for s in sets], [None] * n, [None] * n], types, names)
             if n:
                 at = (np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64)
                 sketch += np.bincount(at, minlength=SKETCH)
         used = np.flatnonzero(sketch >= max(4, COMMON * sketch.mean() / 2))
         none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(used.astype(np.int32)), pa.array(sketch[used])], names=names)
-        yield _arrays([[None], [None], [None], [-1], [int(sketch.sum())]], types, names)
+        yield pa.RecordBatch.from_arrays([none, none, none, pa.nulls(len(used), pa.binary()), pa.array(used.astype(np.int32)), pa.array(sketch[used])], names=names)
+        yield _arrays([[None], [None], [None], [None], [-1], [int(sketch.sum())]], types, names)
 
-    both = stash(docs.mapInArrow(work, "doc_id long, n_shingles long, node long, bucket int, filled long"), "shingle-nodes")
+    both = stash(docs.mapInArrow(work, "doc_id long, n_shingles long, node long, bits binary, bucket int, filled long"), "shingle-nodes")
     filled = both.where("bucket is not null").groupBy("bucket").agg(F.sum("filled").alias("filled"))
     mean = (filled.where("bucket = -1").first() or {"filled": 0})["filled"] / SKETCH
     rows = filled.where((F.col("bucket") >= 0) & (F.col("filled") >= max(16, COMMON * mean))).toPandas()  # at most SKETCH / COMMON rows
     common = np.zeros(SKETCH, np.int64)
     common[rows["bucket"]] = rows["filled"]
-    return both.where("n_shingles is not null").select("doc_id", "n_shingles", "node"), common
+    return both.where("n_shingles is not null").select("doc_id", "n_shingles", "node", "bits"), common
 
 
 def tiles(docs: DataFrame, common: np.ndarray) -> DataFrame:
@@ -209,46 +209,40 @@ def tiles(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, size, bits, elements) of the wanted nodes, and of some more that a Bloom filter lets through."""
+    """(node, elements) for wanted (node, doc_id), read from that document (rows that repeat it give it again), and some more
+    that a Bloom filter lets through. A null doc_id is read from every row of the node."""
     spark = docs.sparkSession
 
-    def places(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = mix(nodes.view(np.uint64))
+    def places(nodes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        with np.errstate(over="ignore"):
+            x = mix(mix(nodes.view(np.uint64)) + ids.view(np.uint64))
         return (x % np.uint64(BLOOM_BITS)).astype(np.int64), (mix(x + np.uint64(1)) % np.uint64(BLOOM_BITS)).astype(np.int64)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bloom = np.zeros(BLOOM_BITS // 8, np.uint8)
         for batch in batches:
-            for at in places(np.asarray(batch.column(0))):
+            for at in places(np.asarray(batch.column(0)), np.asarray(batch.column(1).fill_null(-1))):
                 np.bitwise_or.at(bloom, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
         used = np.flatnonzero(bloom.view(np.uint64))
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(bloom.view(np.int64)[used])], names=["at", "bits"])
 
-    words = wanted.mapInArrow(fill, "at int, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()  # at most BLOOM_BITS / 64 rows
+    words = wanted.select("node", "doc_id").mapInArrow(fill, "at int, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()  # at most BLOOM_BITS / 64 rows
     bloom = np.zeros(BLOOM_BITS // 64, np.int64)
     bloom[words["at"]] = words["bits"]
     shared = spark.sparkContext.broadcast(bloom.view(np.uint8))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for _, _, _, sets in _each_set(batches, 0):
-            sets = [s for s in sets if len(s)]
-            nodes = np.array([node_of(s) for s in sets], np.int64)
-            hit = np.ones(len(nodes), bool)
-            for at in places(nodes):
-                hit &= (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-            rows = []
-            for k in np.flatnonzero(hit):
-                if nodes[k] not in seen:
-                    seen.add(int(nodes[k]))
-                    rows.append(k)
-            if len(seen) > 1_000_000:
-                seen.clear()
-            yield _arrays([nodes[rows], [len(sets[k]) for k in rows], [signature(sets[k]) for k in rows], [sets[k].astype("<u8").tobytes() for k in rows]], [pa.int64(), pa.int32(), pa.binary(), pa.binary()], ["node", "size", "bits", "elements"])
-
-    picked = docs.select("text").mapInArrow(pick, "node long, size int, bits binary, elements binary")
-    # Copies of a node from several tasks are alike: any one will do.
-    return stash(picked.dropDuplicates(["node"]), "candidate-sets")
+        for batch, a, b, sets in _each_set(batches, 1):
+            ids = np.asarray(batch.column(0).slice(a, b - a).fill_null(-1)).astype(np.int64)
+            full = np.array([len(s) > 0 for s in sets], bool)
+            nodes = np.array([node_of(s) if len(s) else 0 for s in sets], np.int64)
+            hit = full
+            for at in places(nodes, ids):
+                hit = hit & ((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+            rows = np.flatnonzero(hit)
+            yield _arrays([nodes[rows], [sets[k].astype("<u8").tobytes() for k in rows]], [pa.int64(), pa.binary()], ["node", "elements"])
+
+    return stash(docs.select("doc_id", "text").mapInArrow(pick, "node long, elements binary"), "candidate-sets")
 
 
 def most_overlap(size_x, size_y, bits_x: np.ndarray, bits_y: np.ndarray):
@@ -261,11 +255,16 @@ def similar(overlap, size_x, size_y):
     return 100 * overlap >= PERCENT * (size_x + size_y - overlap)
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (x, y) that are similar: sizes, then bitmaps, then the arrays themselves."""
-    signs = sets.select("node", "size", "bits")
-    sided = lambda t, k, *c: t.select(F.col("node").alias(k), *(F.col(n).alias(f"{n}_{k}") for n in c))
-    both = pairs.join(sided(signs, "x", "size", "bits"), "x").join(sided(signs, "y", "size", "bits"), "y")
+#: Candidate components of up to so many nodes are decided within one task; pairs of larger ones are joined to their sets.
+MOST_TOGETHER = 20_000
+#: Nodes whose sets one task takes, about.
+NODES_A_TASK = 4_000
+
+
+def bounded_pairs(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """The pairs (x, y) whose sizes and bitmaps allow the similarity; signs: (node, size, bits)."""
+    sided = lambda k: signs.select(F.col("node").alias(k), F.col("size").alias(f"size_{k}"), F.col("bits").alias(f"bits_{k}"))
+    both = pairs.join(sided("x"), "x").join(sided("y"), "y")
     both = both.where((100 * F.col("size_x") >= PERCENT * F.col("size_y")) & (100 * F.col("size_y") >= PERCENT * F.col("size_x"))).select("x", "y", "size_x", "size_y", "bits_x", "bits_y")
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,21 +274,72 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             ok = similar(most_overlap(sx, sy, *bits), sx, sy)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["x", "y"])
 
-    left = stash(both.mapInArrow(bound, "x long, y long"), "bounded-pairs")
-    arrays = left.join(sided(sets, "x", "elements"), "x").join(sided(sets, "y", "elements"), "y").select("x", "y", "elements_x", "elements_y")
+    return stash(both.mapInArrow(bound, "x long, y long"), "bounded-pairs")
 
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for a, b in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8")
-                if len(a) > len(b):
-                    a, b = b, a
-                at = np.searchsorted(b, a)
-                ok.append(bool(similar(int((b[np.minimum(at, len(b) - 1)] == a).sum()), len(a), len(b))))
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], names=["x", "y"])
 
-    return stash(arrays.mapInArrow(exact, "x long, y long"), "links")
+def linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """The similarity of two sorted arrays, by their exact intersection."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    return bool(similar(int((b[np.minimum(at, len(b) - 1)] == a).sum()), len(a), len(b)))
+
+
+def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (x, y) that join what the similar ones among the pairs join. nodes: (node, doc_id), a document of each.
+
+    The sets of a candidate component meet in one task, where pairs that links have already joined are not looked at; a
+    component of more than MOST_TOGETHER nodes goes pair by pair.
+    """
+    groups = stash(components(pairs, "candidate-components"), "candidate-labels")
+    sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    sets = candidate_sets(docs, groups.select("node").join(nodes, "node"))
+    release(docs.sparkSession)
+    large = sizes.where(F.col("n") > MOST_TOGETHER).select("label")
+    any_large = large.limit(1).count() > 0
+    n = groups.count()
+    tasks = max(1, -(-n // NODES_A_TASK))
+    task = F.pmod(F.xxhash64("label"), F.lit(tasks)).cast("int")
+    here = groups.join(large, "label", "left_anti") if any_large else groups
+    tasked = here.select("node", task.alias("task"))
+    pairs_here = pairs.join(tasked.select(F.col("node").alias("x"), (F.col("task") + 0).alias("task")), "x").select("task", "x", "y")
+    sets_here = sets.join(tasked, "node").select("task", "node", "elements")
+
+    def decide(edges: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        arrays = {k: np.frombuffer(e, "<u8") for k, e in zip(own["node"], own["elements"], strict=True)}
+        root: dict[int, int] = {}
+
+        def find(k: int) -> int:
+            while (up := root.get(k, k)) != k:
+                root[k] = root.get(up, up)
+                k = up
+            return k
+
+        out = []
+        for x, y in sorted(zip(edges["x"], edges["y"], strict=True)):
+            a, b = find(x), find(y)
+            if a != b and linked(arrays[x], arrays[y]):
+                root[max(a, b)] = min(a, b)
+                out.append((x, y))
+        return pd.DataFrame(out, columns=["x", "y"], dtype="int64")
+
+    links = pairs_here.groupBy("task").cogroup(sets_here.groupBy("task")).applyInPandas(decide, "x long, y long")
+    if any_large:
+        wide = pairs.join(groups.join(large, "label").select(F.col("node").alias("x")), "x")
+        one = sets.dropDuplicates(["node"])
+        sided = lambda k: one.select(F.col("node").alias(k), F.col("elements").alias(f"elements_{k}"))
+        arrays = wide.join(sided("x"), "x").join(sided("y"), "y").select("x", "y", "elements_x", "elements_y")
+
+        def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ok = [linked(np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8")) for a, b in zip(batch.column(2), batch.column(3), strict=True)]
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], names=["x", "y"])
+
+        links = links.unionByName(arrays.mapInArrow(exact, "x long, y long"))
+    out = stash(links, "links")
+    discard(sets)
+    release(docs.sparkSession)
+    return out
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -312,7 +362,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct())
 
 
-def across_tiles(found: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def across_tiles(found: DataFrame, labels: DataFrame, signs: DataFrame) -> DataFrame:
     """Candidate pairs (x, y) of the large tiles between nodes that no link has joined yet and whose bitmaps allow it.
 
     A tile is cut by size band and, beyond TILE nodes, by hash; the pieces meet two by two, in tasks of bounded size.
@@ -327,7 +377,7 @@ def across_tiles(found: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFr
 
     members = runs.mapInArrow(unpack, "tile long, node long").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_tiles = members.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("tile")
-    members = stash(members.join(open_tiles, "tile").join(sets.select("node", "size", "bits"), "node"), "open-tiles")
+    members = stash(members.join(open_tiles, "tile").join(signs, "node"), "open-tiles")
     members = members.withColumn("band", F.floor(F.log("size") / math.log(100 / PERCENT) + 1e-9).cast("int"))
     pieces = members.groupBy("tile", "band").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("pieces"))
     members = members.join(pieces, ["tile", "band"]).withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
@@ -368,24 +418,22 @@ def join_near_duplicates(docs: DataFrame) -> DataFrame:
     linked with nothing, not even its like. An empty table gives an empty result.
     """
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    spark = docs.sparkSession
     rows, common = document_nodes(picked)
+    full = rows.where("node is not null").groupBy("node")
+    signs = full.agg(F.first("n_shingles").cast("int").alias("size"), F.first("bits").alias("bits"))
+    stands = full.agg(F.min("doc_id").alias("doc_id"))
     found = tiles(picked, common)
-    pairs = stash(found.where("x is not null").select("x", "y").distinct(), "candidate-pairs")
-    in_tiles = found.where("tile is not null").groupBy("tile").agg(F.first("nodes").alias("nodes"))
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for nodes in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(nodes.as_buffer(), "<i8"))], names=["node"])
-
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("node")).unionByName(in_tiles.select("nodes").mapInArrow(unpack, "node long"))
-    sets = candidate_sets(picked, wanted)
-    links = verify(pairs, sets)
+    release(spark)
+    in_tiles = found.where("tile is not null")
+    pairs = bounded_pairs(found.where("x is not null").select("x", "y").distinct(), signs)
+    release(spark)
+    links = verify(pairs, picked, stands)
     labels = stash(components(links), "labels")
     if in_tiles.limit(1).count():
-        more = stash(across_tiles(found, labels, sets), "tile-pairs")
+        more = stash(across_tiles(found, labels, signs), "tile-pairs")
         if more.limit(1).count():
-            links = links.unionByName(verify(more, sets))
+            links = links.unionByName(verify(more, picked, stands))
             labels = stash(components(links), "labels")
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
     nodes = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
