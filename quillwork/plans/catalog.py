@@ -1,6 +1,412 @@
-"""Named queries and their SQL."""
+"""Named queries over the test tables, whole tables each, and their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillwork.functions import buckets as B
+from quillwork.functions.text import normalize
+from quillwork.operators import audit, boards, corpus, corridor, longtail, package, reduce, selection
+from quillwork.plans.oracle import SQL
+
+#: Parameters that the queries and their SQL share.
+CHUNK, WIDTH, VOCABULARY, FACTOR, CAPACITY, SHARD = 400, 64, 64, 8.0, 16, 1024
+SPEC = reduce.Reduction()
+TAIL = longtail.TailPolicy(10, 25, 45)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def r6(*names: str):
+    return [F.round(n, 6).alias(n) for n in names]
+
+
+def documents(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+
+
+def chunks(spark, sf_dir):
+    return corpus.chunk_documents(documents(spark, sf_dir), CHUNK)
+
+
+def deduplicated(spark, sf_dir):
+    kept = corpus.drop_duplicates(chunks(spark, sf_dir))
+    numbered = corpus.contiguous_ids(kept, ("doc_id", "chunk_index"), F.floor(F.col("doc_id") / corpus.ID_BIN))
+    return numbered.withColumn("corpus_id", corpus.corpus_id(F.col("ord")))
+
+
+def corpus_normalize_chunk(spark, sf_dir):
+    return chunks(spark, sf_dir).select("doc_id", "chunk_index", "chunk_count", "char_count", "content_hash")
+
+
+def corpus_exact_dedup(spark, sf_dir):
+    return deduplicated(spark, sf_dir).select("corpus_id", "doc_id", "chunk_index", "char_count", "content_hash", "lang")
+
+
+def corpus_manifest_by_source(spark, sf_dir):
+    return corpus.manifest(corpus.drop_duplicates(chunks(spark, sf_dir)), "source")
+
+
+def corpus_report_counters(spark, sf_dir):
+    return corpus.report(documents(spark, sf_dir), chunks(spark, sf_dir))
+
+
+def corpus_check(spark, sf_dir):
+    return audit.check_corpus(deduplicated(spark, sf_dir))
+
+
+def prompts(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    joined = docs.join(labels, "doc_id", "left")
+    tags = F.array_compact(F.array(F.col("lang"), F.when(F.col("quality") == 1, "good"), F.when(F.col("toxic") == 1, "toxic")))
+    raw = F.when(F.col("quality").isNull(), "").when(F.pmod("doc_id", F.lit(10)) == 0, "Val").when(F.pmod("doc_id", F.lit(10)) == 1, "valid").otherwise(" Train ")
+    return joined.select(F.col("doc_id").alias("ord"), F.format_string("p%09d", "doc_id").alias("id"), corpus.normalize_split(raw).alias("split"), tags.alias("tags"))
+
+
+def prompt_filter_tags(spark, sf_dir):
+    return corpus.filter_prompts(prompts(spark, sf_dir), "validation", ("en", "good")).select("id", "split", F.concat_ws(",", "tags").alias("tags"))
+
+
+def prompt_manifest(spark, sf_dir):
+    return corpus.prompt_manifest(prompts(spark, sf_dir))
+
+
+def split_round_robin(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.groupBy(corpus.round_robin(F.col("doc_id")).alias("split"), "lang").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+
+
+def shard_assignment(spark, sf_dir):
+    rows = deduplicated(spark, sf_dir)
+    shard, row = corpus.shard_of(F.col("ord") - 1, SHARD)
+    return rows.select(shard.alias("shard_id"), row.alias("row"), "corpus_id", "char_count").groupBy("shard_id", F.pmod("shard_id", F.lit(4)).alias("worker")).agg(F.count(F.lit(1)).alias("rows"), F.min("corpus_id").alias("first_id"), F.max("corpus_id").alias("last_id"), F.sum("char_count").alias("chars"))
+
+
+def stratified_sample(spark, sf_dir):
+    return corpus.stratified_sample(table(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", ("doc_id",), 64)
+
+
+def smoke_tokens(spark, sf_dir):
+    rows = corpus.byte_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # The sum and a rolling hash hold the whole sequence to account.
+    return rows.select("doc_id", F.size("ids").alias("n_tokens"), F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("id_sum"), F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: (a * 31 + x) % 1000003).alias("id_hash"))
+
+
+def positions(spark, sf_dir):
+    return corridor.token_positions(documents(spark, sf_dir), WIDTH, VOCABULARY, SHARD)
+
+
+def cpu_tokens(spark, sf_dir):
+    return positions(spark, sf_dir).groupBy("token", "position").agg(F.count(F.lit(1)).alias("n"))
+
+
+def pair_stats(spark):
+    rows = reduce.reduce_logits(reduce.synthetic_logits(spark, VOCABULARY, WIDTH, FACTOR), SPEC)
+    return rows
+
+
+def seen_pairs(spark, sf_dir):
+    """The reductions of the (token, position) pairs of all documents, with how often each occurs."""
+    return cpu_tokens(spark, sf_dir).join(F.broadcast(pair_stats(spark)), ["token", "position"])
+
+
+def listed(column: str, digits: int | None = None):
+    value = (lambda x: x.cast("string")) if digits is None else (lambda x: F.format_number(x, digits))
+    return F.array_join(F.transform(column, value), ",").alias(column)
+
+
+def topk_tail(spark, sf_dir):
+    return seen_pairs(spark, sf_dir).select("token", "position", "n", listed("top_ids"), *r6("top_mass", "tail_mass", "entropy", "confidence"))
+
+
+def cascaded_rank_buckets(spark, sf_dir):
+    rows = seen_pairs(spark, sf_dir).select("token", "position", "n", F.posexplode("rank_bucket_mass").alias("bucket", "mass"))
+    return rows.select("token", "position", "n", "bucket", *r6("mass"))
+
+
+def _edge(name):
+    def query(spark, sf_dir):
+        zipped = F.arrays_zip(f"{name}_mass", f"{name}_count", f"{name}_logp")
+        rows = seen_pairs(spark, sf_dir).select("token", "position", F.posexplode(zipped).alias("bucket", "b"))
+        return rows.select("token", "position", "bucket", F.round(f"b.{name}_mass", 6).alias("mass"), F.col(f"b.{name}_count").alias("items"), F.round(f"b.{name}_logp", 6).alias("mean_logp"))
+
+    return query
+
+
+def dynamic_topk(spark, sf_dir):
+    rows = seen_pairs(spark, sf_dir)
+    return rows.select("token", "position", "n", "dynamic_k", *r6("dynamic_mass", "dynamic_tail"))
+
+
+def dynamic_topk_summary(spark, sf_dir):
+    rows = seen_pairs(spark, sf_dir)
+    return rows.agg(F.min("dynamic_k").alias("least_k"), F.max("dynamic_k").alias("most_k"), F.round(F.sum(F.col("dynamic_k") * F.col("n")) / F.sum("n"), 6).alias("mean_k"), F.sum("n").alias("positions"))
+
+
+def topk_check(spark, sf_dir):
+    return audit.check_top_k(seen_pairs(spark, sf_dir), VOCABULARY)
+
+
+def corridor_stats(spark, sf_dir):
+    stats = corridor.with_bins(seen_pairs(spark, sf_dir))
+    return stats.select("token", "position", "n", *r6("top1_margin", "top8_mass", "top32_mass", "stat_tail_mass", "entropy"))
+
+
+def observations(spark, sf_dir):
+    stats = corridor.with_bins(pair_stats(spark).select("token", "position", *corridor.STATS, "confidence", "top_token"))
+    return corridor.observe(positions(spark, sf_dir), stats)
+
+
+def example_summary(spark, sf_dir):
+    return corridor.example_summary(observations(spark, sf_dir))
+
+
+def example_entropy_summary(spark, sf_dir):
+    return example_summary(spark, sf_dir).select("example_id", "position", "top_token", *r6("max_entropy", "mean_entropy"))
+
+
+def exemplar_positions(spark, sf_dir):
+    return corridor.entropy_positions(observations(spark, sf_dir), 2).select("example_id", "rank", "position", *r6("entropy"))
+
+
+def binned_pairs(spark, sf_dir):
+    """The distinct (token, position) pairs of all documents with their statistics and how often each occurs."""
+    stats = corridor.with_bins(pair_stats(spark).select("token", "position", *corridor.STATS, "confidence", "top_token"))
+    return cpu_tokens(spark, sf_dir).join(F.broadcast(stats), ["token", "position"])
+
+
+def modes(spark, sf_dir):
+    return corridor.modes(binned_pairs(spark, sf_dir), "n")
+
+
+def corridor_modes(spark, sf_dir):
+    bounds = [f"{s}_{k}" for s in corridor.STATS for k in ("min", "max", "mean")]
+    return modes(spark, sf_dir).select("mode_id", "entropy_bin", "margin_bin", "top32_bin", "n", *r6("share", *bounds))
+
+
+def mode_representatives(spark, sf_dir):
+    keys = ["entropy_bin", "margin_bin", "top32_bin"]
+    return corridor.representatives(observations(spark, sf_dir), keys).select(*keys, "rank", "example_id", "position", *r6("entropy"))
+
+
+def corridor_fingerprints(spark, sf_dir):
+    return corridor.fingerprints(observations(spark, sf_dir)).select("fingerprint_id", "top_token", "entropy_bucket", "confidence_bucket", "place_bucket", "n", "examples", *r6("mean_entropy", "max_entropy", "mean_confidence"))
+
+
+def assigned(spark, sf_dir):
+    return corridor.assign(observations(spark, sf_dir), modes(spark, sf_dir))
+
+
+def mode_assignments(spark, sf_dir):
+    return assigned(spark, sf_dir).groupBy("example_id", "mode_id").agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("first_position"))
+
+
+def link_selected_to_modes(spark, sf_dir):
+    obs = observations(spark, sf_dir)
+    best = corridor.example_summary(obs).select("example_id", "position")
+    beyond = best.select("example_id", (F.col("position") + WIDTH).alias("position"))
+    linked = corridor.link(best.unionByName(beyond), corridor.assign(obs, modes(spark, sf_dir)))
+    return linked.groupBy("assignment_status", "mode_id").agg(F.count(F.lit(1)).alias("n"), F.min("example_id").alias("first_example"))
+
+
+def board_scores(spark, sf_dir):
+    return boards.board_scores(example_summary(spark, sf_dir))
+
+
+def boards_pools(spark, sf_dir):
+    return boards.pools(board_scores(spark, sf_dir), CAPACITY).select("board_id", "priority", "rank", "example_id", "position", *r6("score"))
+
+
+def duplicate_candidates(spark, sf_dir):
+    return boards.shared_candidates(boards.pools(board_scores(spark, sf_dir), CAPACITY)).select("example_id", "position", "boards")
+
+
+def exemplar_selection_final(spark, sf_dir):
+    return boards.select_exemplars(board_scores(spark, sf_dir), CAPACITY, budget=32, fraction=0.5)
+
+
+def scored(spark, sf_dir):
+    """Every (token, position) pair as a candidate, n times: its features and score depend on nothing else."""
+    pairs = binned_pairs(spark, sf_dir)
+    table_ = corridor.modes(pairs, "n")
+    return selection.score_candidates(selection.features(corridor.assign(pairs, table_), table_, VOCABULARY))
+
+
+def pools_of_modes(spark, sf_dir, rows):
+    best = selection.leading(rows).drop("n")
+    return selection.mode_pools(positions(spark, sf_dir).join(F.broadcast(best), ["token", "position"]))  # a few pairs for each of 256 modes at most
+
+
+def c1_scores(spark, sf_dir):
+    return scored(spark, sf_dir).select("token", "position", "mode_id", "n", "eligible", F.concat_ws(",", "reasons").alias("reasons"), *r6("membership_score", "centrality_score", "useful_difficulty", "utility"))
+
+
+def c2_pools(spark, sf_dir):
+    return pools_of_modes(spark, sf_dir, scored(spark, sf_dir)).select("mode_id", "rank", "example_id", "position", *r6("utility", "membership_score", "centrality_score", "useful_difficulty"))
+
+
+def c2_counts(spark, sf_dir):
+    return selection.mode_counts(scored(spark, sf_dir), "n")
+
+
+def c2_rejections(spark, sf_dir):
+    return selection.rejections(scored(spark, sf_dir), "n")
+
+
+def c2_pool_occupancy(spark, sf_dir):
+    held = pools_of_modes(spark, sf_dir, scored(spark, sf_dir)).groupBy("mode_id").agg(F.count(F.lit(1)).alias("n"))
+    return held.agg(F.min("n").alias("least"), F.expr("percentile(n, 0.5)").alias("median"), F.max("n").alias("most"), F.count(F.lit(1)).alias("modes"))
+
+
+def c3_allocation(spark, sf_dir):
+    rows = scored(spark, sf_dir)
+    return selection.allocate(selection.mode_counts(rows, "n"), pools_of_modes(spark, sf_dir, rows))
+
+
+def _claims(spark, sf_dir):
+    rows = scored(spark, sf_dir)
+    pool = pools_of_modes(spark, sf_dir, rows)
+    plan = selection.allocate(selection.mode_counts(rows, "n"), pool)
+    return selection.claim_selected(pool, plan, boards.pools(board_scores(spark, sf_dir), CAPACITY), 2, 32)
+
+
+def c4_claims(spark, sf_dir):
+    claims, _, _ = _claims(spark, sf_dir)
+    return spark.createDataFrame([(c["claim_order"], c["example_id"], c["position"], c["primary"], c["source"], c["backfilled"], len(c["obligations"])) for c in claims], "claim_order int, example_id string, position int, primary string, source string, backfilled boolean, obligations int")
+
+
+def c4_boards(spark, sf_dir):
+    _, lineage, summaries = _claims(spark, sf_dir)
+    waits = {s["board_id"]: sum(x["board_id"] == s["board_id"] and x["replacement"] is None for x in lineage) for s in summaries}
+    return spark.createDataFrame([(s["board_id"], s["target"], s["fulfilled"], s["collisions"], s["ineligible"], s["backfills"], s["exhausted"], waits[s["board_id"]]) for s in summaries], "board_id string, target int, fulfilled int, collisions int, ineligible int, backfills int, exhausted boolean, unresolved int")
+
+
+def c5_records(spark, sf_dir):
+    claims, _, _ = _claims(spark, sf_dir)
+    return spark.createDataFrame(selection.records(claims), selection.RECORD)
+
+
+def payload_keys(spark, sf_dir):
+    best = example_summary(spark, sf_dir)
+    return best.select("example_id", "position", selection.payload_key_column(F.col("example_id"), F.col("position")).alias("payload_key"))
+
+
+def _tails(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").alias("effective_k"), "l_shipmode" if "l_shipmode" in table(spark, sf_dir, "lineitem").columns else F.lit("").alias("l_shipmode"))
+    return lines.withColumn("tail_class", longtail.classify(F.col("effective_k"), 50, TAIL))
+
+
+def longtail_classes(spark, sf_dir):
+    return _tails(spark, sf_dir).groupBy("effective_k", "tail_class").agg(F.count(F.lit(1)).alias("n"))
+
+
+def longtail_routing(spark, sf_dir):
+    rows = _tails(spark, sf_dir).withColumn("board", longtail.board_of(F.col("tail_class")))
+    kept = longtail.cap_boards(rows, {longtail.UNCERTAIN: 128, longtail.PERVERSE: 32}, ("l_orderkey", "l_linenumber"))
+    return kept.groupBy("board").agg(F.count(F.lit(1)).alias("n"), F.sum("effective_k").cast("long").alias("k_sum"), F.min("l_orderkey").alias("first_key"), F.max("l_orderkey").alias("last_key"))
+
+
+def longtail_summary(spark, sf_dir):
+    rows = _tails(spark, sf_dir)
+    return rows.agg(*longtail.summarize(rows, "effective_k", "tail_class", F.col("effective_k") >= 50, 50))
+
+
+def semantic_tail_tags(spark, sf_dir):
+    words = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+")).alias("piece"))
+    return longtail.majority_tag(words, ["doc_id"])
+
+
+def parity_numeric_diff(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("label", F.explode("embedding").alias("x")).select("label", F.col("x").cast("double").alias("x"))
+    return rows.groupBy("label").agg(*audit.numeric_diff(F.col("x"), F.round("x", 3)))
+
+
+def selection_jaccard(spark, sf_dir):
+    pool = boards.pools(board_scores(spark, sf_dir), CAPACITY).where("board_id not like 'shard_coverage%'")
+    return audit.overlap(pool, "board_id", ["example_id", "position"])
+
+
+def coordinate_surface_diff(spark, sf_dir):
+    left, right = table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels").select("doc_id")
+    return audit.surface_diff(left, right, ["doc_id"])
+
+
+def linkage_audit(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    records_ = docs.select("doc_id", F.col("n_chars").cast("long").alias("chars"), F.col("lang"))
+    cut = docs.where("lang <> 'es'").select("doc_id", F.length(normalize(F.col("text"))).cast("long").alias("chars"), F.upper(F.col("lang")).alias("up"), "lang")
+    payloads = cut.select("doc_id", "chars", F.when(F.col("chars") % 5 == 0, F.col("up")).otherwise(F.col("lang")).alias("lang"))
+    return audit.linkage_audit(records_, payloads, ["doc_id"], ["chars", "lang"])
+
+
+def range_join_shards(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("price"))
+    most = orders.agg(F.max("o_orderkey")).first()[0] or 0
+    ranges = spark.range(int((most / 50) ** 0.5) + 2).select(F.col("id").alias("shard_id"), (50 * F.col("id") * F.col("id")).alias("start"), (50 * (F.col("id") + 1) * (F.col("id") + 1)).alias("end"))
+    found = audit.range_lookup(orders, ranges, "o_orderkey", "start", "end", 1000)
+    return found.groupBy("shard_id", "start").agg(F.count(F.lit(1)).alias("n"), F.min(F.col("o_orderkey") - F.col("start")).alias("least_row"), F.round(F.sum("price"), 2).alias("price"))
+
+
+def lineage_join(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    joined = docs.select("doc_id", "source").join(labels.select("doc_id", F.lit(1).alias("_there")).distinct(), "doc_id", "left")
+    return joined.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count("_there").alias("linked"), F.sum(F.col("_there").isNull().cast("long")).alias("missing"))
+
+
+def ordered_collection_root(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("h"))
+    return package.collection_root(rows, ["source"], "doc_id", "h")
+
+
+def payload_shards(spark, sf_dir):
+    rows = deduplicated(spark, sf_dir)
+    sharded = package.shard_rows(rows, F.col("ord") - 1, 128)
+    return package.shard_manifest(sharded, "corpus_id")
+
+
+def chat_turns(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return rows.groupBy("role").agg(F.count(F.lit(1)).alias("turns"), F.countDistinct("conv_id").alias("conversations"), F.sum(F.length(normalize(F.col("text")))).cast("long").alias("chars"), F.max("turn").alias("last_turn"))
+
+
+def bucket_ladders(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_quantity").cast("int").alias("q"), F.col("l_discount").cast("double").alias("d")).groupBy("q", "d").agg(F.count(F.lit(1)).alias("n"))
+    place = F.col("q") - 1
+    return lines.select(
+        "q", F.round("d", 4).alias("d"), "n", B.quarter(place, F.lit(50)).alias("quarter"), B.length_class(F.col("q") * 8).alias("length_class"), B.place_bucket(place, F.lit(50)).alias("place"), B.entropy_bucket(F.col("q") / 7).alias("entropy"), B.confidence_bucket(F.col("d") * 10).alias("confidence"),
+        B.bin_index(F.col("d") * 10, B.MARGIN_EDGES).alias("margin_bin"),
+    )
+
+
+def stream_resume_equivalence(spark, sf_dir):
+    """Documents streamed in batches with a stop after the first, resumed, against the same plan over the table."""
+    from quillwork.sources.folders import shared_dir
+    from quillwork.streaming import build as stream
+
+    schema = table(spark, sf_dir, "documents").schema
+    home = f"{shared_dir(spark)}/quillwork/stream-{uuid.uuid4().hex}"
+    counts = lambda df: df.select("doc_id", "source", F.length(normalize(F.col("text"))).alias("chars"))
+    source = stream.read_stream(spark, f"{sf_dir}/documents.parquet", schema)
+    stream.build(source, counts, f"{home}/out", f"{home}/state", stop_after=1)
+    stream.build(stream.read_stream(spark, f"{sf_dir}/documents.parquet", schema), counts, f"{home}/out", f"{home}/state")
+    total = lambda df, name: df.groupBy("source").agg(F.count(F.lit(1)).alias(f"{name}_rows"), F.sum("chars").alias(f"{name}_chars"))
+    return total(stream.built(spark, f"{home}/out"), "stream").join(total(counts(table(spark, sf_dir, "documents")), "batch"), "source")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        corpus_normalize_chunk, corpus_exact_dedup, corpus_manifest_by_source, corpus_report_counters, corpus_check, prompt_filter_tags, prompt_manifest, split_round_robin, shard_assignment, stratified_sample, smoke_tokens, cpu_tokens,
+        topk_tail, cascaded_rank_buckets, dynamic_topk, dynamic_topk_summary, topk_check, corridor_stats, example_entropy_summary, exemplar_positions, corridor_modes, mode_representatives, corridor_fingerprints, mode_assignments,
+        link_selected_to_modes, boards_pools, duplicate_candidates, exemplar_selection_final, c1_scores, c2_pools, c2_counts, c2_rejections, c2_pool_occupancy, c3_allocation, c4_claims, c4_boards, c5_records, payload_keys,
+        longtail_classes, longtail_routing, longtail_summary, semantic_tail_tags, parity_numeric_diff, selection_jaccard, coordinate_surface_diff, linkage_audit, range_join_shards, lineage_join, ordered_collection_root,
+        payload_shards, chat_turns, bucket_ladders, stream_resume_equivalence,
+    )
+} | {"cascaded_edge_buckets_pair": _edge("pair"), "cascaded_edge_buckets_ladder": _edge("ladder")}
+ORACLE_SQL: dict[str, str] = {k: v for k, v in SQL.items() if k in QUERIES}
