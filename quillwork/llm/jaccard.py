@@ -31,7 +31,8 @@ SKETCH, COMMON = 1 << 20, 8
 SMALL_TILE = 48
 #: Nodes of a tile that are compared in one piece in the second round.
 TILE = 2048
-BITS = 2048
+#: Bits of a signature: the least power of two that is so many times the set's size, and at least so many.
+BITS_EACH, LEAST_BITS = 4, 256
 #: Bits of the Bloom filter over candidate nodes; false hits only cost time.
 BLOOM_BITS = 1 << 26
 _SIZE_BITS = 20
@@ -77,11 +78,21 @@ def node_of(own: np.ndarray) -> int:
 
 
 def signature(own: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, bool)
-    bits[(mix(own) & np.uint64(BITS - 1)).astype(np.int64)] = True
+    """A bitmap as large as the set needs: bit h of each hashed element, h by the low bits, so that halves can be folded."""
+    size = max(LEAST_BITS, 1 << (BITS_EACH * len(own) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(mix(own) & np.uint64(size - 1)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
 
 
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Rows of equally long bitmaps (uint64 words) folded to fewer words: the bitmap that the set has at that size."""
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] | bits[:, half:]
+    return bits
+
+
 def prefix(own: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The first n // 5 + 1 elements in the global order: by how common, then by hash."""
     n = len(own) * (100 - PERCENT) // 100 + 1
@@ -269,9 +280,14 @@ def bounded_pairs(pairs: DataFrame, signs: DataFrame) -> DataFrame:
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(-1, BITS // 64) for k in (4, 5)]
             sx, sy = (np.asarray(batch.column(k)).astype(np.int64) for k in (2, 3))
-            ok = similar(most_overlap(sx, sy, *bits), sx, sy)
+            raw = [batch.column(k).to_pylist() for k in (4, 5)]
+            wide = np.array([[len(b) // 8 for b in r] for r in raw])
+            ok = np.zeros(batch.num_rows, bool)
+            for pair in np.unique(wide, axis=1).T:
+                at = np.flatnonzero((wide == pair[:, None]).all(0))
+                bits = [folded(np.frombuffer(b"".join([r[k] for k in at]), np.uint64).reshape(-1, w), int(pair.min())) for r, w in zip(raw, pair, strict=True)]
+                ok[at] = similar(most_overlap(sx[at], sy[at], *bits), sx[at], sy[at])
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["x", "y"])
 
     return stash(both.mapInArrow(bound, "x long, y long"), "bounded-pairs")
@@ -392,7 +408,8 @@ def across_tiles(found: DataFrame, labels: DataFrame, signs: DataFrame) -> DataF
     seated = members.select("tile", "node", "label", "size", "bits", F.explode(seats).alias("s")).select("tile", "s.*", "node", "label", "size", "bits")
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
-        bits = np.frombuffer(b"".join(part["bits"]), np.uint64).reshape(-1, BITS // 64)
+        least = min(map(len, part["bits"])) // 8
+        bits = np.concatenate([folded(np.frombuffer(b, np.uint64)[None], least) for b in part["bits"]])
         node, label, size, side = (part[c].to_numpy(np.int64) for c in ("node", "label", "size", "side"))
         up = part["up"].iloc[0] == 1
         values, counts = np.unique(label, return_counts=True)
