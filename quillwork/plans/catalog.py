@@ -12,6 +12,7 @@ from quillwork.functions import buckets as B
 from quillwork.functions.text import normalize
 from quillwork.operators import audit, boards, corpus, corridor, longtail, package, reduce, selection
 from quillwork.plans.oracle import SQL
+from quillwork.session import ship
 
 #: Parameters that the queries and their SQL share.
 CHUNK, WIDTH, VOCABULARY, FACTOR, CAPACITY, SHARD = 400, 64, 64, 8.0, 16, 1024
@@ -20,6 +21,7 @@ TAIL = longtail.TailPolicy(10, 25, 45)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -3,10 +3,27 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once a context, so that they need no copy of their own."""
+    context = spark.sparkContext
+    if getattr(context, "_quillwork_shipped", False):
+        return
+    home = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="quillwork-code-")) / "quillwork.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(home.rglob("*.py")):
+            z.write(path, path.relative_to(home.parent).as_posix())
+    context.addPyFile(str(target))
+    context._quillwork_shipped = True
+
+
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A UTC session with adaptive execution, sized for one machine."""
     return (
