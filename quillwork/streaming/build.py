@@ -10,7 +10,12 @@ from pyspark.sql.types import StructType
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, files_a_batch: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).parquet(path)
+    """A stream over the Parquet files of a folder, or over one file (file streams take folders alone)."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    if any(f.rstrip("/").endswith(f"/{name}") for f in spark.read.schema(schema).parquet(path).inputFiles()):
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(path)
 
 
 def build(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], target: str, checkpoint: str, stop_after: int | None = None) -> int:
