@@ -29,18 +29,24 @@ from quillwork.llm.shared import WordHashes, discard, mix, release, slices, stas
 #: Concentrations of the context restaurants and of the parent; the parent's discount. The context discount follows the counts.
 STRENGTH, ROOT_STRENGTH, ROOT_DISCOUNT = 1.0, 10.0, 0.5
 ROUNDS, BURN = 8, 4
-BLOCK_TOKENS, BUCKET_PAIRS = 2_000_000, 3_000_000
+BLOCK_TOKENS, BUCKET_PAIRS = 1_500_000, 2_000_000
 #: Hashes of a text's end and of what stands before its first word; the latter sorts last.
 END, START = 0xE5D, 0xFFFFFFFFFFFFFFFF
 FOLDS, HELD = 7, 2
 
 
 def packed(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+    """Arrays as bytes: byte planes apart (sorted hashes and small numbers then compress well), and Zstandard."""
+    planes = [(a.dtype.str, np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()) for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(planes, protocol=5))
 
 
 def unpacked(data: bytes) -> tuple[np.ndarray, ...]:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+    out = []
+    for kind, planes in pickle.loads(zstandard.ZstdDecompressor().decompress(data)):
+        wide = np.dtype(kind)
+        out.append(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(wide.itemsize, -1).T).view(wide).ravel())
+    return tuple(out)
 
 
 def held_out(key):
@@ -307,8 +313,6 @@ def score_texts(docs: DataFrame) -> DataFrame:
         return pd.DataFrame({"tokens": [int(n.sum())], "words": [int((n > 0).sum())]})
 
     asked = merged.where("kind = 'state'").select("to", "data").mapInArrow(first_customers, MESSAGE)
-    asked = stash(asked, "lm-words")
-    release(spark)
     totals = asked.groupBy("to").applyInPandas(count_words, "tokens long, words long").agg(F.sum("tokens"), F.sum("words")).first()
     n_train, v = int(totals[0] or 0), int(totals[1] or 0)
 
@@ -352,7 +356,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
     answers = asked.groupBy("to").applyInPandas(parent, MESSAGE)
     seated = stash(merged.unionByName(answers).groupBy("to").applyInPandas(gibbs, MESSAGE), "lm-seats")
-    discard(merged, asked)
+    discard(merged)
     release(spark)
     customers = int(seated.where("kind = 'words'").agg(F.sum("a")).first()[0] or 0)
     shared: dict[int, np.ndarray] = {}
