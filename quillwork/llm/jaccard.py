@@ -33,6 +33,8 @@ SMALL_TILE = 48
 TILE = 2048
 #: Bits of a signature: the least power of two that is so many times the set's size, and at least so many.
 BITS_EACH, LEAST_BITS = 4, 256
+#: The same for the second bitmaps, made where the sets themselves are at hand: they rule out most pairs just below the similarity.
+SHARP_BITS = 16
 #: Bits of the Bloom filter over candidate nodes; false hits only cost time.
 BLOOM_BITS = 1 << 26
 _SIZE_BITS = 20
@@ -77,9 +79,9 @@ def node_of(own: np.ndarray) -> int:
     return int(both.view(np.int64)[0])
 
 
-def signature(own: np.ndarray) -> bytes:
+def signature(own: np.ndarray, each: int | None = None) -> bytes:
     """A bitmap as large as the set needs: bit h of each hashed element, h by the low bits, so that halves can be folded."""
-    size = max(LEAST_BITS, 1 << (BITS_EACH * len(own) - 1).bit_length())
+    size = max(LEAST_BITS, 1 << ((each or BITS_EACH) * len(own) - 1).bit_length())
     bits = np.zeros(size, bool)
     bits[(mix(own) & np.uint64(size - 1)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
@@ -268,8 +270,8 @@ def similar(overlap, size_x, size_y):
 
 #: Candidate components of up to so many nodes are decided within one task; pairs of larger ones are joined to their sets.
 MOST_TOGETHER = 20_000
-#: Nodes whose sets one task takes, about.
-NODES_A_TASK = 4_000
+#: Nodes whose sets, and pairs that, one task takes, about.
+NODES_A_TASK, PAIRS_A_TASK = 2_000, 10_000
 
 
 def bounded_pairs(pairs: DataFrame, signs: DataFrame) -> DataFrame:
@@ -313,8 +315,7 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     release(docs.sparkSession)
     large = sizes.where(F.col("n") > MOST_TOGETHER).select("label")
     any_large = large.limit(1).count() > 0
-    n = groups.count()
-    tasks = max(1, -(-n // NODES_A_TASK))
+    tasks = max(1, -(-groups.count() // NODES_A_TASK), -(-pairs.count() // PAIRS_A_TASK))
     task = F.pmod(F.xxhash64("label"), F.lit(tasks)).cast("int")
     here = groups.join(large, "label", "left_anti") if any_large else groups
     tasked = here.select("node", task.alias("task"))
@@ -323,6 +324,11 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def decide(edges: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         arrays = {k: np.frombuffer(e, "<u8") for k, e in zip(own["node"], own["elements"], strict=True)}
+        bits = {k: np.frombuffer(signature(a, SHARP_BITS), np.uint64)[None] for k, a in arrays.items()}
+
+        def may_be(x: int, y: int) -> bool:
+            words = min(bits[x].shape[1], bits[y].shape[1])
+            return bool(similar(most_overlap(len(arrays[x]), len(arrays[y]), folded(bits[x], words)[0], folded(bits[y], words)[0]), len(arrays[x]), len(arrays[y])))
         root: dict[int, int] = {}
 
         def find(k: int) -> int:
@@ -334,7 +340,7 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
         out = []
         for x, y in sorted(zip(edges["x"], edges["y"], strict=True)):
             a, b = find(x), find(y)
-            if a != b and linked(arrays[x], arrays[y]):
+            if a != b and may_be(x, y) and linked(arrays[x], arrays[y]):
                 root[max(a, b)] = min(a, b)
                 out.append((x, y))
         return pd.DataFrame(out, columns=["x", "y"], dtype="int64")
