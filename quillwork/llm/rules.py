@@ -8,7 +8,7 @@ every document.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,30 +43,25 @@ def hashed_grams(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarra
     return h, sizes, np.stack([single, pair])
 
 
-def with_trust(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """docs(doc_id, text) and whether the id is among `trusted`(doc_id): by a broadcast of checked size, else by a join."""
+def with_trust(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Callable[[pa.RecordBatch], np.ndarray]]:
+    """docs(doc_id, text), and a function that tells of a batch of it which rows are among `trusted`(doc_id): by a broadcast of
+    checked size, else by a third column that a join has made."""
     ids = trusted.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     few = ids.limit(MOST_IDS + 1).toPandas()["doc_id"].to_numpy(np.int64)
     if len(few) > MOST_IDS:
-        return docs.join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left").select("doc_id", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+        joined = docs.join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left")
+        return joined.select("doc_id", "text", F.coalesce("trusted", F.lit(False)).alias("trusted")), lambda batch: np.asarray(batch.column(2))
     shared = docs.sparkSession.sparkContext.broadcast(np.sort(few))
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            doc = batch.column(0)
-            known = np.isin(np.asarray(doc.fill_null(0)), shared.value) & np.asarray(doc.is_valid())
-            yield pa.RecordBatch.from_arrays([doc, batch.column(1), pa.array(known)], names=["doc_id", "text", "trusted"])
-
-    return docs.mapInArrow(mark, "doc_id long, text string, trusted boolean")
+    return docs, lambda batch: np.isin(np.asarray(batch.column(0).fill_null(0)), shared.value) & np.asarray(batch.column(0).is_valid())
 
 
-def gram_counts(marked: DataFrame) -> DataFrame:
+def gram_counts(docs: DataFrame, known: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
     """(bucket, raw, trusted): n-gram counts over all documents and over the trusted ones."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, totals = WordHashes(), np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
-            texts, trust = batch.column(1).to_pylist(), np.asarray(batch.column(2).fill_null(False))
+            texts, trust = batch.column(1).to_pylist(), known(batch)
             for a, b in slices(texts):
                 _, sizes, grams = hashed_grams(texts[a:b], hashes)
                 of_word = np.repeat(trust[a:b], sizes)
@@ -77,7 +72,7 @@ def gram_counts(marked: DataFrame) -> DataFrame:
         used = np.flatnonzero(totals[0])
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(totals[0, used]), pa.array(totals[1, used])], names=["bucket", "raw", "trusted"])
 
-    return marked.mapInArrow(count, "bucket int, raw long, trusted long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
+    return docs.mapInArrow(count, "bucket int, raw long, trusted long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
 
 
 def log_ratios(counts: DataFrame) -> np.ndarray:
@@ -112,14 +107,14 @@ def repeated_words(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 MEASURES = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, ratio double, trusted boolean"
 
 
-def measure(marked: DataFrame, ratios: np.ndarray) -> DataFrame:
-    shared = marked.sparkSession.sparkContext.broadcast(ratios)
+def measure(docs: DataFrame, known: Callable[[pa.RecordBatch], np.ndarray], ratios: np.ndarray) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(ratios)
     names = [x.split()[0] for x in MEASURES.split(", ")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts, trust = [t or "" for t in batch.column(1).to_pylist()], known(batch)
             for a, b in slices(texts):
                 part = texts[a:b]
                 h, sizes, grams = hashed_grams(part, hashes)
@@ -135,10 +130,10 @@ def measure(marked: DataFrame, ratios: np.ndarray) -> DataFrame:
                     symbols.append(sum(map(text.count, SYMBOLS)))
                     lines = [x for x in text.split("\n") if x.strip(SPACES)]
                     dups.append(len(lines) - len(set(lines)))
-                columns = [batch.column(0).slice(a, b - a), sizes, chars, symbols, dups, repeated_words(h, sizes), np.round(total / np.maximum(n, 1), 9), batch.column(2).slice(a, b - a)]
+                columns = [batch.column(0).slice(a, b - a), sizes, chars, symbols, dups, repeated_words(h, sizes), np.round(total / np.maximum(n, 1), 9), trust[a:b]]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
 
-    return marked.mapInArrow(work, MEASURES)
+    return docs.mapInArrow(work, MEASURES)
 
 
 def judge_quality(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -148,8 +143,8 @@ def judge_quality(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     trusted. With no trusted document the ratio is 0 and only the base rules decide. An empty table gives an empty result.
     """
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = with_trust(picked, trusted)
-    rows = stash(measure(marked, log_ratios(gram_counts(marked))), "quality-measures")
+    marked, known = with_trust(picked, trusted)
+    rows = stash(measure(marked, known, log_ratios(gram_counts(marked, known))), "quality-measures")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
     seen = rows.where(F.col("trusted") & ~F.col("base_failed")).agg(F.avg("ratio").alias("m"), F.stddev_pop("ratio").alias("s")).first()
