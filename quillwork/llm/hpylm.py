@@ -24,12 +24,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillwork.llm.shared import WordHashes, discard, mix, release, slices, stash, words_of
+from quillwork.llm.shared import WordHashes, discard, mix, release, slices, stash, trim, words_of
 
 #: Concentrations of the context restaurants and of the parent; the parent's discount. The context discount follows the counts.
 STRENGTH, ROOT_STRENGTH, ROOT_DISCOUNT = 1.0, 10.0, 0.5
 ROUNDS, BURN = 8, 4
-BLOCK_TOKENS, BUCKET_PAIRS = 1_500_000, 2_000_000
+BLOCK_TOKENS, BUCKET_PAIRS = 2_500_000, 2_500_000
 #: Hashes of a text's end and of what stands before its first word; the latter sorts last.
 END, START = 0xE5D, 0xFFFFFFFFFFFFFFFF
 FOLDS, HELD = 7, 2
@@ -181,8 +181,10 @@ class Block:
     def __init__(self, data: bytes, hot: np.ndarray, buckets: int):
         self.ids, self.valid, self.held, self.sizes, self.codes, self.vocabulary = unpacked(data)
         v = len(self.vocabulary)
-        self.keys, self.at = np.unique(pair_keys(self.sizes, self.codes.astype(np.int64), v), return_inverse=True)
-        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.keys, at = np.unique(pair_keys(self.sizes, self.codes.astype(np.int64), v), return_inverse=True)
+        self.at = at.astype(np.int32)
+        del at
+        self.doc = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
         self.count = np.bincount(self.at, ~self.held[self.doc], len(self.keys)).astype(np.int64)
         self.u, self.w = self.keys // (v + 1), self.keys % (v + 1)
         names = np.append(self.vocabulary, np.uint64(START))
@@ -255,6 +257,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
                     us, u = np.unique(own.u[at], return_inverse=True)
                     ws, w = np.unique(own.w[at], return_inverse=True)
                     yield _messages([(k, "pairs", block, packed(own.names[us], own.names[ws], np.bincount(u).astype(np.int32), w.astype(np.int32), own.count[at].astype(np.int32)), None, None, None)])
+                del own
+                trim()
 
     # A context bucket merges them: its state, and for each block the places of its pairs.
     def merge(part: pd.DataFrame) -> pd.DataFrame:
@@ -267,11 +271,14 @@ def score_texts(docs: DataFrame) -> DataFrame:
         sizes = [len(g[3]) for g in got]
         del got
         pairs, at = np.unique(keys, return_inverse=True)
+        del keys
         c = np.bincount(at, counts, len(pairs)).astype(np.int64)
         u, w = pairs // len(ws), pairs % len(ws)
         rows = [(to, "state", -1, packed(us, ws, np.bincount(u, minlength=len(us)).astype(np.int32), w.astype(np.int32), c.astype(np.int32)), int((c == 1).sum()), int((c == 2).sum()), int((c > 0).sum()))]
         for sender, places in zip(part["sender"], np.split(at.astype(np.int32), np.cumsum(sizes)[:-1]), strict=True):
             rows.append((to, "places", int(sender), packed(np.diff(places, prepend=np.int32(0))), 0, 0, 0))  # ascending, as both sides sort by hash
+        del pairs, at, counts, c, u, w
+        trim()
         return _frame(rows)
 
     merged = stash(blocks.select("block", "data").mapInArrow(send, MESSAGE).groupBy("to").applyInPandas(merge, MESSAGE), "lm-pairs")
@@ -422,6 +429,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
         score = sums(np.log10(p)[own.at])
         out = pd.DataFrame({"doc_id": pd.array(own.ids, "Int64"), "held_out": own.held, "n_tokens": own.sizes, "n_known": sums(n[own.codes] > 0).astype(np.int64), "train_tokens": n_train, "base_score": sums(base[own.codes]), "score": score})
         out.loc[~own.valid, "doc_id"] = pd.NA
+        del own, c, mean, lam, room, p
+        trim()
         return out
 
     texts = blocks.select(F.col("block").alias("to"), F.lit("block").alias("kind"), F.lit(-1).cast("long").alias("sender"), "data", *(F.lit(0).cast("long").alias(x) for x in "abc"))
