@@ -1,9 +1,8 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them.
 
-Words are lower-cased and stripped of punctuation. An n-gram of an item is a rare seed if it is found in at most RARE times
-as many documents as the median n-gram of that item (FLOOR documents at least): a phrase of the language is common against
-the rest of its item, while copies of the item raise all its n-grams alike and so hide none. A document that holds a seed is
-aligned with the item around it, with costs for replaced, added and left out words.
+Words are lower-cased and stripped of punctuation. A document that holds an n-gram of an item is aligned with the item
+around it, with costs for replaced, added and left out words, however many documents hold that n-gram. Only windows whose
+words bound the score below the least one of a copy are left unaligned, so no copy is lost by it.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quillwork.llm.shared import mix, slices
 
-SEED_WORDS, RARE, FLOOR = 3, 4, 8
+SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: A copy reaches this share of the item's best possible score, and so many matched words (or the whole item, if shorter).
 RATIO, LEAST_WORDS = 0.5, 8
@@ -29,11 +28,12 @@ TRIM = b".,;:!?\"'()[]{}<>*#$%&|-_/\\`~"
 
 @dataclass
 class Items:
-    """A block of items: ids and words as numbers; `vocabulary` maps words to numbers, seeds are sorted hashes with the
+    """A block of items: ids and words as numbers, and the sorted distinct words of each; `vocabulary` maps words to numbers, seeds are sorted hashes with the
     items and places (in words) that they stand at."""
 
     ids: list[int]
     words: list[np.ndarray]
+    distinct: list[np.ndarray]
     vocabulary: dict[bytes, int]
     keys: np.ndarray
     starts: np.ndarray
@@ -76,7 +76,7 @@ def index_items(rows: list[tuple[int, str]]) -> Items:
     keys, items, places = cat(keys, np.uint64), cat(items, np.int64), cat(places, np.int64)
     order = np.argsort(keys, kind="stable")
     found, starts = np.unique(keys[order], return_index=True)
-    return Items(ids, words, vocabulary, found, np.append(starts, len(keys)), items[order], places[order])
+    return Items(ids, words, [np.unique(w) for w in words], vocabulary, found, np.append(starts, len(keys)), items[order], places[order])
 
 
 class Reader:
@@ -142,32 +142,40 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return score, end - back, end
 
 
-def align(items: Items, rare: np.ndarray, codes: np.ndarray, places: np.ndarray, seeds: np.ndarray) -> list[tuple[int, int, float, int, int]]:
+def most_score(words: np.ndarray, text: np.ndarray) -> int:
+    """A bound on the local score of an item, given as sorted distinct words: text words that the item lacks cost one each
+    within an alignment, others add a match at most."""
+    k = np.minimum(np.searchsorted(words, text), len(words) - 1)
+    total = np.concatenate([[0], np.cumsum(np.where(words[k] == text, MATCH, MISMATCH))])
+    return int((total - np.minimum.accumulate(total)).max())
+
+
+def align(items: Items, codes: np.ndarray, places: np.ndarray, seeds: np.ndarray) -> list[tuple[int, int, float, int, int]]:
     """(item, score, ratio, first word, end) of the items that a text holds a copy of; places are in the text's words."""
     spans: dict[int, list[tuple[int, int]]] = {}
-    for at, seed in zip(places, seeds, strict=True):
+    for at, seed in zip(places.tolist(), seeds.tolist(), strict=True):
         for k in range(items.starts[seed], items.starts[seed + 1]):
-            if rare[k]:
-                item, n = int(items.items[k]), len(items.words[items.items[k]])
-                first = int(at) - int(items.places[k]) - n // 2
-                spans.setdefault(item, []).append((first, first + 2 * n))
+            item, n = int(items.items[k]), len(items.words[items.items[k]])
+            first = at - int(items.places[k]) - n // 2
+            spans.setdefault(item, []).append((first, first + 2 * n))
     out = []
     for item, own in spans.items():
         own.sort()
-        best, words = (0, 0, 0), items.words[item]
+        best, words, distinct = (0, 0, 0), items.words[item], items.distinct[item]
+        least = max(RATIO * MATCH * len(words), MATCH * min(LEAST_WORDS, len(words)))
         a, b = own[0]
         for s, e in [*own[1:], (1 << 60, 0)]:
             if s <= b:
                 b = max(b, e)
                 continue
             low = max(a, 0)
-            found = smith_waterman(words, codes[low:b])
-            if found[0] > best[0]:
-                best = (found[0], found[1] + low, found[2] + low)
+            if most_score(distinct, codes[low:b]) >= least:
+                found = smith_waterman(words, codes[low:b])
+                if found[0] > best[0]:
+                    best = (found[0], found[1] + low, found[2] + low)
             a, b = s, e
-        ratio = best[0] / (MATCH * len(words))
-        if ratio >= RATIO and best[0] >= MATCH * min(LEAST_WORDS, len(words)):
-            out.append((item, best[0], round(ratio, 6), best[1], best[2]))
+        if best[0] >= least:
+            out.append((item, best[0], round(best[0] / (MATCH * len(words)), 6), best[1], best[2]))
     return out
 
 
@@ -181,31 +189,6 @@ def _each_text(reader: Reader, texts: list[str | None]):
             yield a + int(k), codes[ends[k] : ends[k + 1]], places[own] - ends[k], seeds[own]
 
 
-def rare_seeds(docs: DataFrame, items: Items) -> np.ndarray:
-    """For each (seed, item, place), whether the seed is rare for its item, from counts over all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, total = Reader(shared.value), np.zeros(len(shared.value.keys), np.int64)
-        for batch in batches:
-            for _, _, _, seeds in _each_text(reader, batch.column(0).to_pylist()):
-                total[np.unique(seeds)] += 1
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["seed", "docs"])
-
-    counts = docs.select("text").mapInArrow(count, "seed long, docs long").groupBy("seed").agg(F.sum("docs").alias("docs")).toPandas()
-    shared.unpersist()
-    of_seed = np.zeros(len(items.keys), np.int64)
-    of_seed[counts["seed"]] = counts["docs"]
-    per = np.repeat(of_seed, np.diff(items.starts))
-    rare = np.zeros(len(per), bool)
-    order = np.argsort(items.items, kind="stable")
-    for own in np.split(order, np.flatnonzero(np.diff(items.items[order])) + 1):
-        if len(own):
-            rare[own] = per[own] <= max(FLOOR, RARE * np.median(per[own]))
-    return rare
-
-
 def blocks(benchmark: DataFrame) -> Iterator[Items]:
     """The benchmark as indexed blocks of bounded size."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
@@ -231,16 +214,16 @@ def find_copies(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     names = [x.split()[0] for x in FOUND.split(", ")]
     out = docs.sparkSession.createDataFrame([], FOUND)
     for items in blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast((items, rare_seeds(picked, items)))
+        shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items, rare = shared.value
+            items = shared.value
             reader = Reader(items)
             for batch in batches:
                 rows = []
                 ids = batch.column(0).to_pylist()
                 for k, codes, places, seeds in _each_text(reader, batch.column(1).to_pylist()):
-                    rows += [(ids[k], items.ids[i], score, ratio, a, b) for i, score, ratio, a, b in align(items, rare, codes, places, seeds)]
+                    rows += [(ids[k], items.ids[i], score, ratio, a, b) for i, score, ratio, a, b in align(items, codes, places, seeds)]
                 columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (*(pa.int64(),) * 3, pa.float64(), pa.int64(), pa.int64()), strict=True)], names=names)
 
@@ -253,15 +236,15 @@ def drop_copies(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Da
     """docs without the rows that hold a copy of an item; all columns and all other rows stay as they are."""
     at, names = docs.columns.index(text), docs.columns
     for items in blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast((items, rare_seeds(docs.select(F.col(text).alias("text")), items)))
+        shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items, rare = shared.value
+            items = shared.value
             reader = Reader(items)
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
                 for k, codes, places, seeds in _each_text(reader, batch.column(at).to_pylist()):
-                    clean[k] = not align(items, rare, codes, places, seeds)
+                    clean[k] = not align(items, codes, places, seeds)
                 yield pa.RecordBatch.from_arrays(batch.filter(pa.array(clean)).columns, names=names)
 
         docs = docs.mapInArrow(keep, docs.schema)

@@ -221,6 +221,23 @@ def test_decontamination_finds_edited_copies(spark, monkeypatch):
     assert decontam.find_copies(fx.empty(spark), bench).count() == 0 and decontam.find_copies(docs, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [9, 1000])
+def test_an_edited_copy_in_many_documents_is_found(spark, copies):
+    words = [f"w{k}" for k in range(40)]
+    edited = " ".join("other" if k % 10 in (2, 5) else w for k, w in enumerate(words))
+    data = [(k, f"d{k} {edited} e{k}") for k in range(copies)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = decontam.find_copies(spark.createDataFrame(data, "doc_id long, text string"), bench).collect()
+    assert {r["doc_id"] for r in got} == set(range(copies)) and all(r["ratio"] > 0.5 for r in got)
+
+
+def test_the_bound_on_the_score_loses_no_alignment():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a, b = rng.integers(0, 5, rng.integers(1, 12)), rng.integers(-1, 9, rng.integers(1, 30))
+        assert decontam.most_score(np.unique(a), b) >= decontam.smith_waterman(a, b)[0]
+
+
 def test_language_model_counts_and_probabilities(spark, monkeypatch):
     monkeypatch.setattr(hpylm, "BLOCK_TOKENS", 3000)
     monkeypatch.setattr(hpylm, "BUCKET_PAIRS", 900)
