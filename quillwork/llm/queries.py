@@ -49,7 +49,8 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
-    return rules.judge_quality(table(spark, sf_dir, "documents"), labels.where("quality = 1 and toxic = 0").select("doc_id"))
+    trusted, others = (labels.where(x).select("doc_id") for x in ("quality = 1 and toxic = 0", "quality = 0 or toxic = 1"))
+    return rules.judge_quality(table(spark, sf_dir, "documents"), trusted, others)
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import math
+import random
 import re
 import sys
 import zlib
@@ -169,6 +170,19 @@ def test_rules_against_plain_counts(spark):
     assert all(r["ratio"] == 0 for r in rules.judge_quality(fx.table(spark), none).collect())
 
 
+@pytest.mark.parametrize("most", [2_000_000, 3])
+def test_rules_cut_tells_held_out_trusted_from_others(spark, monkeypatch, most):
+    monkeypatch.setattr(rules, "MOST_IDS", most)
+    rng = random.Random(5)
+    plain, odd = ([f"{c}{k}" for k in range(150)] for c in "pq")
+    text = lambda share: " ".join(rng.choice(odd if rng.random() < share else plain) for _ in range(120))
+    data = [(k, text(0.1)) for k in range(200)] + [(k, text(0.3)) for k in range(200, 400)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    trusted, others = docs.where("doc_id < 160").select("doc_id"), docs.where("doc_id between 200 and 360").select("doc_id")
+    kept = {r["doc_id"] for r in rules.judge_quality(docs, trusted, others).collect() if r["kept"]}
+    assert sum(k in kept for k in range(160, 200)) >= 34 and sum(k in kept for k in range(361, 400)) <= 4
+
+
 def test_rules_join_beyond_the_broadcast(spark, monkeypatch):
     trusted = spark.createDataFrame([(k,) for k in range(20)], "doc_id long")
     one = {(r["doc_id"], r["n_words"]): r["ratio"] for r in rules.judge_quality(fx.table(spark), trusted).collect()}
