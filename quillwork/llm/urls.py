@@ -1,8 +1,8 @@
 """URL filter: host and path rules, else a character language-model ratio. DataFrame functions only.
 
 Two smoothed variable-order Markov models over characters (Witten-Bell interpolation from the longest
-context down to a uniform base) are counted over all URLs that the rules accept and reject. A URL that no
-rule decides is judged by the difference of its log-likelihoods per character against a threshold
+context down to a uniform base) are counted over all URLs that the rules accept and reject: the whole URL, its host in lower
+case, as often as it occurs. A URL that no rule decides is judged by the difference of its log-likelihoods per character against a threshold
 calibrated on a fifth of the rule-decided URLs that the models do not count.
 """
 
@@ -42,6 +42,13 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, "://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def whole(url: Column) -> Column:
+    """The URL with A-Z of its host lower-cased; empty for null."""
+    at, host = F.locate("://", url), F.regexp_extract(url, "://([^/?#]*)", 1)
+    lowered = F.concat(F.substr(url, F.lit(1), at + 2), ascii_lower(host), F.substr(url, at + 3 + F.length(host)))
+    return F.coalesce(F.when(at > 0, lowered).otherwise(url), F.lit(""))
+
+
 def _by_rule(rules: UrlRules, host: Column, path: Column, value) -> Column:
     out = F.lit(None).cast("string")
     for rule, verdict in reversed(rules.all):
@@ -57,12 +64,12 @@ def _fold() -> Column:
 
 
 def gram_ratios(texts: DataFrame, order: int) -> DataFrame:
-    """texts: distinct (text, verdict of a rule or null). Returns (gram, llr): log P(accepted) - log P(rejected) of the
+    """texts: distinct (text, verdict of a rule or null, n rows of it). Returns (gram, llr): log P(accepted) - log P(rejected) of the
     last character of each gram of `order` characters after the others."""
     padded = F.concat(F.lit("\u0002" * (order - 1)), "text", F.lit("\u0003"))
-    grams = texts.select(F.when(_fold() != 0, F.col("verdict")).alias("verdict"), F.explode(F.transform(F.sequence(F.lit(1), F.length("text") + 1), lambda i: F.substr(padded, i, F.lit(order)))).alias("gram"))
+    grams = texts.select(F.when(_fold() != 0, F.col("verdict")).alias("verdict"), "n", F.explode(F.transform(F.sequence(F.lit(1), F.length("text") + 1), lambda i: F.substr(padded, i, F.lit(order)))).alias("gram"))
     counted = grams.groupBy("gram").agg(
-        F.sum(F.when(F.col("verdict") == "allow", 1).otherwise(0)).alias("a"), F.sum(F.when(F.col("verdict") == "block", 1).otherwise(0)).alias("r")
+        F.sum(F.when(F.col("verdict") == "allow", F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("verdict") == "block", F.col("n")).otherwise(0)).alias("r")
     )
     counted = stash(counted, "url-grams")
     alphabet = counted.select(F.substr("gram", F.lit(order), F.lit(1)).alias("c")).distinct().count() + 1
@@ -84,16 +91,15 @@ def gram_ratios(texts: DataFrame, order: int) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: UrlRules = UrlRules(), url: str = "url", key: str = "page_id") -> DataFrame:
     """(key, host, path, rule, verdict, score) for every row, repeated rows included.
 
-    A null URL or one without '://' has an empty host and path, no rule and score 0 less the threshold. Empty tables
-    give empty results. Where the rules leave one of the two classes without a URL to
+    A null URL or one without '://' has an empty host and path and no rule; the latter is scored as it stands, a null one as
+    an empty text. Host and path are for the rules alone, the models read the whole URL. Empty tables give empty results. Where the rules leave one of the two classes without a URL to
     calibrate on, every other URL is allowed.
     score: the log-likelihood ratio a character, less the calibrated threshold; null where a rule decides.
     """
-    rows = pages.select(F.col(key).alias("key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    rows = pages.select(F.col(key).alias("key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), whole(F.col(url)).alias("text"))
     rows = rows.withColumn("rule", _by_rule(rules, F.col("host"), F.col("path"), lambda r, v: r)).withColumn("fixed", _by_rule(rules, F.col("host"), F.col("path"), lambda r, v: v))
-    rows = rows.withColumn("text", F.concat("host", "path"))
-    # A distinct text has one host and path each time it is cut at the first slash, so it has one verdict.
-    texts = stash(rows.groupBy("text").agg(F.max("fixed").alias("verdict")), "url-texts")
+    # A distinct text has one host and path, so it has one verdict.
+    texts = stash(rows.groupBy("text").agg(F.max("fixed").alias("verdict"), F.count(F.lit(1)).alias("n")), "url-texts")
     ratios = gram_ratios(texts, rules.order)
     padded = F.concat(F.lit("\u0002" * (rules.order - 1)), "text", F.lit("\u0003"))
     at = texts.select("text", F.explode(F.transform(F.sequence(F.lit(1), F.length("text") + 1), lambda i: F.substr(padded, i, F.lit(rules.order)))).alias("gram"))
@@ -102,7 +108,8 @@ def judge_urls(pages: DataFrame, rules: UrlRules = UrlRules(), url: str = "url",
     # Merge joins: the estimate from the compressed table is far too low for the exploded side to be broadcast safely.
     scored = at.join(ratios.hint("merge"), ["gram", "salt"]).groupBy("text").agg(F.round(F.sum("llr") / F.count(F.lit(1)), 9).alias("ratio"))
     scored = stash(scored.join(texts, "text"), "url-scores")
-    seen = {r["verdict"]: r for r in scored.where(F.col("verdict").isNotNull() & (_fold() == 0)).groupBy("verdict").agg(F.avg("ratio").alias("m"), F.coalesce(F.stddev_pop("ratio"), F.lit(0.0)).alias("s")).collect()}
+    mean = F.sum(F.col("n") * F.col("ratio")) / F.sum("n")
+    seen = {r["verdict"]: r for r in scored.where(F.col("verdict").isNotNull() & (_fold() == 0)).groupBy("verdict").agg(mean.alias("m"), F.sqrt(F.greatest(F.sum(F.col("n") * F.col("ratio") ** 2) / F.sum("n") - mean**2, F.lit(0.0))).alias("s")).collect()}
     if "allow" in seen and "block" in seen:
         a, b = seen["allow"], seen["block"]
         spread = a["s"] + b["s"]

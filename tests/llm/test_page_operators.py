@@ -73,6 +73,18 @@ def test_url_model_tells_kinds_apart(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_url_model_reads_the_whole_url_of_every_row(spark):
+    rng = random.Random(6)
+    word = lambda a: "".join(rng.choice(a) for _ in range(8))
+    rows = [(k, f"http://{word('abcdef')}.net/de/?q={word('ghijk')}", "") for k in range(200)] + [(1000 + k, f"http://{word('abcdef')}.com/en/?q={word('uvwxyz')}", "") for k in range(200)]
+    rows += [(2000, "http://abc.info/a?q=ghijkghijk", ""), (2001, "http://abc.info/a?q=uvwxyzuvwxyz", ""), (2002, "ghijk", ""), (2003, "uvwxyz", ""), (2004, "http://ABC.info/a?q=ghijkghijk", ""), (2005, "http://abc.info/a#uvwxyz", "")]
+    got = {r["page_id"]: r for r in urls.judge_urls(pages(spark, rows)).collect()}
+    assert got[2000]["verdict"] == "allow" and got[2001]["verdict"] == "block" and got[2002]["score"] > got[2003]["score"]
+    assert got[2000]["score"] == got[2004]["score"] and got[2005]["score"] < got[2000]["score"]
+    again = {r["page_id"]: r for r in urls.judge_urls(pages(spark, rows + rows[:40] * 9)).collect()}
+    assert again[2000]["score"] != got[2000]["score"]
+
+
 def test_leaf_blocks_of_odd_pages():
     text = lambda h: [b.text() for b in html_crf.leaf_blocks(h)]
     assert text("<p>a<b>b</b>c<p>d<br>e<script>x='<p>'</script>f") == ["abc", "d e", "f"] or text("<p>a<b>b</b>c<p>d<br>e") == ["abc", "d e"]
