@@ -3,7 +3,8 @@
 Three plain patterns are reported by their form. Base64 and hex candidates are reported only once they decode to
 something that holds together: a signed token whose header and payload are JSON and whose signature has its algorithm's
 length, a DER private key whose nested lengths add up, an OpenSSH key whose length-prefixed fields fill it, or a PEM
-block of either.
+block of either. Every base64 or hex run is a candidate, also across wrapped or escaped line ends: a key may start anywhere
+in it and ends at its end or at that of a line. What decodes to text or PEM is searched once more in the same way.
 """
 
 from __future__ import annotations
@@ -13,7 +14,9 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,9 +34,18 @@ SIGNATURE = {"HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES384": 96, "E
 
 WORDS = re.compile("pass|secret|token|api", re.A)
 TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])ey[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
-CODED = re.compile(r"(?<![A-Za-z0-9+/_=-])(?:M[A-P]|b3BlbnNzaC1rZXkt)[A-Za-z0-9+/_-]{40,}={0,2}")
-HEXED = re.compile(r"(?<![0-9A-Fa-f])(?:30|6[fF]70656[eE]7373682[dD]6[bB]65792[dD])[0-9A-Fa-f]{60,}")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,\\-]*?)-----END \1-----")
+ESCAPED = re.compile(r"\\+[rnt]|\\(?=\s)")
+#: Runs of base64 (either alphabet) and of hex, with line ends (wrapped, continued or escaped) within them.
+LINE_END = r"(?:[ \t]*+(?:\\?\r?\n|\\+[rn])[ \t]*+)++"
+RUN = re.compile(rf"(?:\\+[rnt])*+([A-Za-z0-9+/_-]++(?:{LINE_END}[A-Za-z0-9+/_-]++)*+)={{0,2}}")
+HEX_RUN = re.compile(rf"((?:30|6[fF]70|2[dD]2[dD])[0-9A-Fa-f]*+(?:{LINE_END}[0-9A-Fa-f]++)*+)")
+PIECE, HEX_PIECE = (re.compile(rf"([{c}]++)(?:{LINE_END})?+") for c in ("A-Za-z0-9+/_-", "0-9A-Fa-f"))
+#: How DER, OpenSSH keys and PEM start, encoded.
+STARTS = re.compile("(?=M[A-P]|b3BlbnNzaC1rZXkt|LS0tLS1CRUdJTi)")
+HEX_STARTS = re.compile("(?=30|6f70656e7373682d6b65792d|2d2d2d2d2d424547494e)")
+#: The parsers take no key of fewer bytes.
+LEAST_KEY = 23
 OPENSSH = b"openssh-key-v1\0"
 
 
@@ -110,6 +122,25 @@ def is_openssh(data: bytes) -> bool:
     return at == len(data) and count is not None and fields == 3 + count + 1
 
 
+def key_size(data: bytes) -> int | None:
+    """The bytes that a key at the start of data says it has; None if it starts like none."""
+    if data.startswith(OPENSSH):
+        at, fields, count = len(OPENSSH), 0, None
+        while at + 4 <= len(data) and (count is None or fields < 4 + count):
+            n = int.from_bytes(data[at : at + 4], "big")
+            if fields == 3 and count is None:
+                count, at = n, at + 4
+                continue
+            at, fields = at + 4 + n, fields + 1
+        return at
+    if len(data) < 2 or data[0] != 0x30:
+        return None
+    n = data[1] & 0x7F
+    if data[1] < 0x80:
+        return 2 + n
+    return 2 + n + int.from_bytes(data[2 : 2 + n], "big") if 1 <= n <= 4 else None
+
+
 def is_key(data: bytes | None) -> bool:
     return bool(data) and (is_private_der(data) or is_openssh(data))
 
@@ -142,16 +173,95 @@ def find_secrets(text: str | None) -> list[tuple[int, int, int]]:
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     if "." in text and "ey" in text:
         out += [(m.start(), 3, m.end()) for m in TOKEN.finditer(text) if is_signed_token(m[0])]
+    return sorted(out + find_keys(text))
+
+
+def find_pem(text: str) -> list[tuple[int, int, int]]:
+    out = []
     if "-----BEGIN" in text:
         for m in PEM.finditer(text):
-            body = re.sub(r"(?m)^[A-Za-z-]+:.*$", "", m[2])
+            body = re.sub(r"(?m)^[A-Za-z-]+:.*$", "", ESCAPED.sub("\n", m[2]))
             if is_key(unbase64(re.sub(r"\s", "", body))) or "Proc-Type" in m[2] and len(unbase64(re.sub(r"\s", "", body)) or b"") >= 64:
                 out.append((m.start(), 4, m.end()))
-    out += [(m.start(), 5, m.end()) for m in CODED.finditer(text) if is_key(unbase64(m[0]))]
-    for m in HEXED.finditer(text):
-        if len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
-            out.append((m.start(), 6, m.end()))
-    return sorted(out)
+    return out
+
+
+def as_text(data: bytes | None) -> str | None:
+    if not data or not all(32 <= x < 127 or x in b"\t\r\n" for x in data[:16]):
+        return None
+    try:
+        return data.decode()
+    except UnicodeDecodeError:
+        return None
+
+
+def find_keys(text: str, deeper: bool = True) -> list[tuple[int, int, int]]:
+    """Keys by their structure: PEM, and encoded runs outside of it. With `deeper`, text that runs decode to is searched too."""
+    out = find_pem(text)
+    blocks = [(a, b) for a, _, b in out]
+    for m in RUN.finditer(text):
+        if m.end() - m.start() >= LEAST_KEY * 4 // 3:
+            out += [(a, 5, b) for a, b in keys_of_run(text, m, PIECE, False, deeper)]
+    for m in HEX_RUN.finditer(text):
+        if m.end() - m.start() >= 2 * LEAST_KEY:
+            out += [(a, 6, b) for a, b in keys_of_run(text, m, HEX_PIECE, True, deeper)]
+    return [x for x in out if x[1] == 4 or not any(a <= x[0] and x[2] <= b for a, b in blocks)]
+
+
+def keys_of_run(text: str, m: re.Match, piece: re.Pattern, in_hex: bool, deeper: bool) -> list[tuple[int, int]]:
+    """(start, end) in text of the keys in a run."""
+    at, starts, pieces = m.start(1), [], []
+    while at < m.end(1):
+        found = piece.match(text, at)
+        starts.append(at)
+        pieces.append(found[1])
+        at = found.end()
+    code = "".join(pieces)
+    code = code.lower() if in_hex else code.replace("-", "+").replace("_", "/")
+    ends = list(accumulate(map(len, pieces)))
+    edges = set(ends)
+    top, bottom = (2, 1) if in_hex else (4, 3)
+
+    def decode(a: int, b: int) -> bytes:
+        part = code[a:b]
+        if in_hex:
+            return bytes.fromhex(part[: len(part) // 2 * 2])
+        part = part[:-1] if len(part) % 4 == 1 else part
+        return base64.b64decode(part + "=" * (-len(part) % 4))
+
+    def span(a: int, b: int) -> tuple[int, int]:
+        i, j = bisect_right(ends, a), bisect_left(ends, b)
+        last = starts[j] + len(pieces[j])
+        return starts[i] + a - (ends[i] - len(pieces[i])), m.end() if j == len(ends) - 1 else last
+
+    out, done, rests = [], 0, {}
+    for found in (HEX_STARTS if in_hex else STARTS).finditer(code):
+        a = found.start()
+        if a < done:
+            continue
+        head = code[a : a + 4]
+        if head in ("LS0t", "b3Bl", "2d2d", "6f70"):
+            fresh = (a % top, head) not in rests  # what follows is decoded once an alignment
+            first, rest = rests.setdefault((a % top, head), (a, decode(a, len(code)) if fresh else b""))
+            if head in ("LS0t", "2d2d"):
+                for x, _, y in find_pem(rest.decode("latin-1")) if deeper and fresh else ():
+                    out.append(span(a + x * top // bottom, ends[bisect_left(ends, min(a - (-y * top // bottom), len(code)))]))
+                continue
+            size = key_size(rest[(a - first) // top * bottom :])
+        else:
+            size = key_size(decode(a, a + 4 * top))
+        b = a - (-size * top // bottom) if size else None
+        if b in edges and is_key(decode(a, b)):
+            out.append(span(a, b))
+            done = b
+    if deeper:
+        whole = [(0, len(code))] if len(pieces) > 1 else []
+        for a, b in [*whole, *((e - len(x), e) for x, e in zip(pieces, ends, strict=True))]:
+            if b - a >= LEAST_KEY * 4 // 3 and as_text(decode(a, min(b, a + 16))) and (inner := as_text(decode(a, b))) and find_keys(inner, False):
+                out.append(span(a, b))
+    out = sorted(set(out), key=lambda x: (x[0], -x[1]))
+    reach = [0, *accumulate((b for _, b in out), max)]
+    return [x for x, far in zip(out, reach, strict=False) if x[1] > far]  # none within another
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:

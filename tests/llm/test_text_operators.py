@@ -49,6 +49,25 @@ def test_secrets_need_a_structure_that_holds():
     assert secrets.find_secrets(None) == [] and secrets.find_secrets("") == []
 
 
+def test_secrets_in_every_common_form():
+    kinds = lambda t: [secrets.KINDS[k] for _, k, _ in secrets.find_secrets(t) if k > 2]
+    b64 = lambda x: base64.b64encode(x).decode()
+    wrap = lambda x, end, n=64: end.join(x[k : k + n] for k in range(0, len(x), n))
+    pem = "-----BEGIN PRIVATE KEY-----\n" + wrap(b64(KEY), "\n") + "\n-----END PRIVATE KEY-----\n"
+    for before in ("PRIVATE_KEY=", "der=", 'k: "', "a/", "a+", "a_", "a-", "word\n", "\\n"):
+        assert kinds(f"{before}{b64(KEY)}") == ["encoded_key"], before
+        assert kinds(f"{before}{b64(KEY[:-1] + b'xx')}") == [], before
+    assert kinds(json.dumps({"private_key": pem})) == ["pem_key"] and kinds(json.dumps(json.dumps({"private_key": pem}))) == ["pem_key"]
+    assert kinds(f"client-key-data: {b64(pem.encode())}") == ["encoded_key"] and kinds(f"x: {b64(b'[1]' + pem.encode())} y") == ["encoded_key"]
+    assert kinds(f"x: {pem.encode().hex()}") == ["hex_key"] and kinds(f"x: {b64(b64(KEY).encode())}") == ["encoded_key"]
+    for end in ("\n", "\r\n", "\\n", "\n    ", "\\\n"):
+        text = f"see\n{wrap(b64(KEY), end)}\nand more"
+        assert kinds(text) == ["encoded_key"] and kinds(f"see {wrap(KEY.hex(), end)} more") == ["hex_key"], end
+        (a, _, b), = [x for x in secrets.find_secrets(text) if x[1] == 5]
+        assert text[a:b].startswith("MI") and text[b:].lstrip() == "and more"
+    assert kinds("prose\nwith short\nlines " * 400 + "M" * 5000) == []
+
+
 def test_secret_scan_digest_and_redaction(spark):
     out = {}
     for r in secrets.digest(secrets.scan_secrets(fx.table(spark))).collect():
