@@ -1,16 +1,21 @@
 """Near duplicates: an exact Jaccard join on word shingles, and its connected components.
 
-Documents with equal shingle sets are one node. Nodes are candidates if they share a shingle among the n // 5 + 1 first of
-each set in one global order, which every pair of similarity 0.8 or more does; shingles that a sketch finds very common come
-last in that order, so phrases that many documents share make few candidates. Nodes that share such a shingle form a tile,
-sorted by size. A small tile gives all its pairs whose sizes allow the similarity. A large one first gives each node's pairs
-with the first of its size band and with its neighbour; what that has not joined into one component is compared in tiles by
-size band. Bitmap signatures bound the overlap of a pair from above (the set bits that differ are at most the elements that
-do); the pairs that remain are decided by the intersection of the sorted arrays.
-
-Words, shingles and sets are 64-bit hashes.
+Documents with equal shingle sets are one node. Two nodes of similarity 0.8 or more share a shingle among the n // 5 + 1 first
+of each set in one global order, the prefix; shingles that a sketch finds very common come last in that order. Nodes that
+share a prefix shingle form a tile.
+
+* A small tile gives its pairs whose sizes allow the similarity. Summed over all tiles, a pair's shared prefix shingles bound
+  its intersection from above: what the set whose prefix ends first has in common with the other lies in its prefix, where it
+  is counted, or in its rest. Pairs below the bound, nearly all accidental ones, go before any set is read.
+* A large tile gives no pairs but a star: in each size band, every node with the one whose prefix is shared most.
+* The sets of surviving pairs meet in cells of bounded size, where hashed bitmaps bound the intersection once more (the set
+  bits that differ are at most the elements that do) and the intersection of the sorted arrays decides.
+* Large tiles whose nodes the links have not joined into one component are compared in full, as size-banded tiles: pieces of
+  bounded size meet two by two, none of them both of the largest component. What comes out are links, at most one a node of a
+  cell, never the pairs that were looked at.
+
+Words, shingles and sets are 64-bit hashes. A very long text is one larger set, held as a whole by the tasks that need it.
 """
-
 from __future__ import annotations
 
 import math
@@ -27,18 +32,18 @@ from quillwork.llm.shared import WordHashes, discard, mix, release, slices, stas
 SHINGLE, PERCENT = 5, 80
 #: Buckets of the sketch of common shingles, and how often the mean a common bucket is filled (16 times at least).
 SKETCH, COMMON = 1 << 20, 8
-#: Tiles up to this many nodes give all their pairs at once.
-SMALL_TILE = 48
-#: Nodes of a tile that are compared in one piece in the second round.
-TILE = 2048
+#: Tiles up to this many nodes give all their pairs; larger ones a star each size band.
+SMALL_TILE = 24
+#: Nodes of a piece of a large tile, or of a large candidate component; two pieces meet in a cell.
+TILE = 512
+#: Candidate components up to this many nodes are one cell.
+MOST_TOGETHER = 256
+#: A shingle of more documents than this, by the sketch, is dealt over several tasks.
+HOT = 1 << 17
 #: Bits of a signature: the least power of two that is so many times the set's size, and at least so many.
-BITS_EACH, LEAST_BITS = 4, 256
-#: The same for the second bitmaps, made where the sets themselves are at hand: they rule out most pairs just below the similarity.
-SHARP_BITS = 16
-#: Bits of the Bloom filter over candidate nodes; false hits only cost time.
-BLOOM_BITS = 1 << 26
-_SIZE_BITS = 20
-_SIZE_MASK = (1 << _SIZE_BITS) - 1
+BITS_EACH, LEAST_BITS = 16, 256
+#: Sets that one task takes, about, and pairs.
+NODES_A_TASK, PAIRS_A_TASK = 2_000, 10_000
 
 
 def shingle_sets(texts: list[str | None], hashes: WordHashes) -> list[np.ndarray]:
@@ -79,12 +84,12 @@ def node_of(own: np.ndarray) -> int:
     return int(both.view(np.int64)[0])
 
 
-def signature(own: np.ndarray, each: int | None = None) -> bytes:
+def signature(own: np.ndarray) -> np.ndarray:
     """A bitmap as large as the set needs: bit h of each hashed element, h by the low bits, so that halves can be folded."""
-    size = max(LEAST_BITS, 1 << ((each or BITS_EACH) * len(own) - 1).bit_length())
+    size = max(LEAST_BITS, 1 << (BITS_EACH * len(own) - 1).bit_length())
     bits = np.zeros(size, bool)
     bits[(mix(own) & np.uint64(size - 1)).astype(np.int64)] = True
-    return np.packbits(bits).tobytes()
+    return np.packbits(bits).view(np.uint64)[None]
 
 
 def folded(bits: np.ndarray, words: int) -> np.ndarray:
@@ -117,41 +122,47 @@ def _each_set(batches: Iterator[pa.RecordBatch], column: int):
 
 
 def document_nodes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """A table (doc_id, n_shingles, node, bits), node null for empty sets, and the sketch: how common each bucket is (0: not)."""
-    names, types = ["doc_id", "n_shingles", "node", "bits", "bucket", "filled"], [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
+    """A table (doc_id, n_shingles, node), node null for empty sets, and the sketch: how common each bucket is (0: not)."""
+    names, types = ["doc_id", "n_shingles", "node", "bucket", "filled"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.int64)
         for batch, a, b, sets in _each_set(batches, 1):
             nodes = [node_of(s) if len(s) else None for s in sets]
             n = len(sets)
-            yield _arrays([batch.column(0).slice(a, b - a).to_pylist(), list(map(len, sets)), nodes, [signature(s) if len(s) else None for s in sets], [None] * n, [None] * n], types, names)
+            yield _arrays([batch.column(0).slice(a, b - a).to_pylist(), list(map(len, sets)), nodes, [None] * n, [None] * n], types, names)
             if n:
                 at = (np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64)
                 sketch += np.bincount(at, minlength=SKETCH)
         used = np.flatnonzero(sketch >= max(4, COMMON * sketch.mean() / 2))
         none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.nulls(len(used), pa.binary()), pa.array(used.astype(np.int32)), pa.array(sketch[used])], names=names)
-        yield _arrays([[None], [None], [None], [None], [-1], [int(sketch.sum())]], types, names)
+        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(used.astype(np.int32)), pa.array(sketch[used])], names=names)
+        yield _arrays([[None], [None], [None], [-1], [int(sketch.sum())]], types, names)
 
-    both = stash(docs.mapInArrow(work, "doc_id long, n_shingles long, node long, bits binary, bucket int, filled long"), "shingle-nodes")
+    both = stash(docs.mapInArrow(work, "doc_id long, n_shingles long, node long, bucket int, filled long"), "shingle-nodes")
     filled = both.where("bucket is not null").groupBy("bucket").agg(F.sum("filled").alias("filled"))
     mean = (filled.where("bucket = -1").first() or {"filled": 0})["filled"] / SKETCH
     rows = filled.where((F.col("bucket") >= 0) & (F.col("filled") >= max(16, COMMON * mean))).toPandas()  # at most SKETCH / COMMON rows
     common = np.zeros(SKETCH, np.int64)
     common[rows["bucket"]] = rows["filled"]
-    return both.where("n_shingles is not null").select("doc_id", "n_shingles", "node", "bits"), common
+    table = both.where("n_shingles is not null").select("doc_id", "n_shingles", "node")
+    table._stashed = both._stashed
+    return table, common
 
 
-def tiles(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(x, y, tile, nodes): candidate pairs (x, y), and large tiles with their nodes (int64, little-endian)."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(common)
+def shared_shingles(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """What the prefix shingles of all nodes have in common, as a table (x, y, size_x, size_y, shared, tile, part, nodes, sizes).
+
+    Pairs of small tiles, x < y, with the number of prefix shingles they share in this task's tiles; and large tiles, with their
+    nodes (int64, little-endian), sizes (int32) and the number of shingles that have just these nodes. The tiles of a shingle
+    dealt over several tasks are parts of one.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, _, _, sets in _each_set(batches, 0):
-            keys, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            keys, nodes, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
             for own in sets:
                 if not len(own) or (node := node_of(own)) in seen:
                     continue
@@ -159,103 +170,105 @@ def tiles(docs: DataFrame, common: np.ndarray) -> DataFrame:
                     seen.clear()
                 seen.add(node)
                 first = prefix(own, shared.value)
-                keys.append((first & ~np.uint64(_SIZE_MASK)) | np.uint64(min(len(own), _SIZE_MASK)))
+                keys.append(first)
                 nodes.append(np.full(len(first), node, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))], names=["key", "node"])
+                sizes.append(np.full(len(first), len(own), np.int32))
+            key, node = np.concatenate(keys), np.concatenate(nodes)
+            over = shared.value[(key & np.uint64(SKETCH - 1)).astype(np.int64)] // HOT
+            part = np.where(over > 0, 1 + (mix(node.view(np.uint64)) % (over + 1).astype(np.uint64)).astype(np.int64), 0).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(part), pa.array(node), pa.array(np.concatenate(sizes))], names=["key", "part", "node", "size"])
 
-    names, types = ["x", "y", "tile", "nodes"], [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["x", "y", "size_x", "size_y", "shared", "tile", "part", "nodes", "sizes"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(np.asarray(b.column(0)).view(np.uint64), np.asarray(b.column(1))) for b in batches]
+        parts = [tuple(np.asarray(b.column(k)) for k in range(4)) for b in batches]
         if not parts:
             return
-        key, node = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        key, part, node, size = (np.concatenate([p[k] for p in parts]) for k in range(4))
         del parts
         # One entry a shingle and node; shingles of a single node are done with.
-        order = np.lexsort((node, key))
-        key, node = key[order], node[order]
+        order = np.lexsort((node, part, key))
+        key, part, node, size = key[order], part[order], node[order], size[order]
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-        key, node = key[fresh], node[fresh]
-        shingle, size = key >> np.uint64(_SIZE_BITS), (key & np.uint64(_SIZE_MASK)).astype(np.int64)
-        starts = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
+        key, part, node, size = key[fresh], part[fresh], node[fresh], size[fresh]
+        starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
         length = np.diff(starts, append=len(key))
-        run = np.repeat(length, length)
-        keep = run > 1
-        first_of = np.repeat(starts, length)
-        shift = np.cumsum(keep) - 1
-        node, size, run, first = node[keep], size[keep], run[keep], shift[first_of[keep]]
+        run, first = np.repeat(length, length), np.repeat(starts, length)
+        small = np.flatnonzero((run > 1) & (run <= SMALL_TILE) & (part == 0))
         pairs: list[tuple[np.ndarray, np.ndarray]] = []
-        fits = lambda i, j: (100 * size[i] >= PERCENT * size[j]) | (size[j] == _SIZE_MASK)  # noqa: E731  sorted: size[i] <= size[j]
-        left = np.flatnonzero(run <= SMALL_TILE)
         for k in range(1, SMALL_TILE):
-            left = left[(left + k < len(node)) & (np.minimum(left + k, len(node) - 1) < first[left] + run[left])]
-            left = left[fits(left, left + k)]
-            if not len(left):
+            small = small[small + k < first[small] + run[small]]
+            if not len(small):
                 break
-            pairs.append((node[left], node[left + k]))
-        big = np.flatnonzero((run > SMALL_TILE) & (first == np.arange(len(run))))
-        for s in big:
-            e, a = s + run[s], s
-            while a < e:
-                z = s + int(np.searchsorted(size[s:e], size[a] * 100 // PERCENT, "right"))
-                z = e if size[z - 1] == _SIZE_MASK else max(z, a + 1)
-                pairs.append((np.full(z - a - 1, node[a]), node[a + 1 : z]))
-                pairs.append((node[a : min(z, e - 1)], node[a + 1 : min(z, e - 1) + 1]))
-                a = z
+            a, b = size[small].astype(np.int64), size[small + k].astype(np.int64)
+            fits = (100 * a >= PERCENT * b) & (100 * b >= PERCENT * a)
+            pairs.append((small[fits], small[fits] + k))
         if pairs:
-            x, y = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
-            x, y = np.minimum(x, y), np.maximum(x, y)
-            with np.errstate(over="ignore"):
-                _, at = np.unique(mix(x.view(np.uint64)) + mix(mix(y.view(np.uint64))), return_index=True)
-            x, y = x[at], y[at]
-            ok = x != y
-            n = int(ok.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(x[ok]), pa.array(y[ok]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names=names)
-        for s in big:
-            own = np.sort(node[s : s + run[s]])
-            yield _arrays([[None], [None], [node_of(own.view(np.uint64))], [own.astype("<i8").tobytes()]], types, names)
-
-    posted = docs.select("text").mapInArrow(post, "key long, node long")
-    dealt = posted.repartition(F.shiftrightunsigned("key", _SIZE_BITS))
-    return stash(dealt.mapInArrow(meet, "x long, y long, tile long, nodes binary"), "shingle-tiles")
-
-
-def candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, elements) for wanted (node, doc_id), read from that document (rows that repeat it give it again), and some more
-    that a Bloom filter lets through. A null doc_id is read from every row of the node."""
-    spark = docs.sparkSession
-
-    def places(nodes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        with np.errstate(over="ignore"):
-            x = mix(mix(nodes.view(np.uint64)) + ids.view(np.uint64))
-        return (x % np.uint64(BLOOM_BITS)).astype(np.int64), (mix(x + np.uint64(1)) % np.uint64(BLOOM_BITS)).astype(np.int64)
+            i, j = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
+            order = np.lexsort((node[j], node[i]))  # within a tile nodes ascend
+            i, j = i[order], j[order]
+            x, y = node[i], node[j]
+            at = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])) if len(x) else np.zeros(0, np.int64)
+            n = len(at)
+            columns = [pa.array(x[at]), pa.array(y[at]), pa.array(size[i[at]]), pa.array(size[j[at]]), pa.array(np.diff(at, append=len(x)).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(n, t) for t in types[5:])], names=names)
+        found: dict[int, list] = {}
+        for s in np.flatnonzero((first == np.arange(len(run))) & ((run > SMALL_TILE) | (part > 0))):
+            own = slice(s, s + run[s])
+            tile = (int(key[s]), int(part[s])) if part[s] else (node_of(node[own].view(np.uint64)), 0)
+            found.setdefault(tile, [0, own])[0] += 1
+        for (tile, k), (times, own) in found.items():
+            yield _arrays([[None], [None], [None], [None], [times], [tile], [k], [node[own].astype("<i8").tobytes()], [size[own].astype("<i4").tobytes()]], types, names)
+
+    posted = docs.select("text").mapInArrow(post, "key long, part int, node long, size int")
+    schema = "x long, y long, size_x int, size_y int, shared int, tile long, part int, nodes binary, sizes binary"
+    return stash(posted.repartition("key", "part").mapInArrow(meet, schema), "shared-shingles")
+
+
+def tile_members(found: DataFrame) -> DataFrame:
+    """The large tiles as a table (tile, node, size, band, shared): shared shingles have just the tile's nodes."""
+    runs = found.where("tile is not null").groupBy("tile", "part").agg(F.sum("shared").alias("shared"), F.first("nodes").alias("nodes"), F.first("sizes").alias("sizes"))
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom = np.zeros(BLOOM_BITS // 8, np.uint8)
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in places(np.asarray(batch.column(0)), np.asarray(batch.column(1).fill_null(-1))):
-                np.bitwise_or.at(bloom, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
-        used = np.flatnonzero(bloom.view(np.uint64))
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(bloom.view(np.int64)[used])], names=["at", "bits"])
+            for tile, shared, nodes, sizes in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
+                own = np.frombuffer(nodes.as_buffer(), "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), tile)), pa.array(own), pa.array(np.frombuffer(sizes.as_buffer(), "<i4")), pa.array(np.full(len(own), shared))], names=["tile", "node", "size", "shared"])
+
+    band = F.floor(F.log("size") / math.log(100 / PERCENT) + 1e-9).cast("int")
+    return stash(runs.mapInArrow(unpack, "tile long, node long, size int, shared long").withColumn("band", band), "tile-members")
+
 
-    words = wanted.select("node", "doc_id").mapInArrow(fill, "at int, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()  # at most BLOOM_BITS / 64 rows
-    bloom = np.zeros(BLOOM_BITS // 64, np.int64)
-    bloom[words["at"]] = words["bits"]
-    shared = spark.sparkContext.broadcast(bloom.view(np.uint8))
+def candidates(found: DataFrame, members: DataFrame) -> DataFrame:
+    """(x, y): pairs of the small tiles that the count of shared prefix shingles allows, and the stars of the large tiles."""
+    large = members.groupBy("node").agg(F.sum("shared").alias("large"), F.first("size").alias("size"))
+    sided = lambda k: large.select(F.col("node").alias(k), F.col("large").alias(f"large_{k}"))
+    pairs = found.where("x is not null").groupBy("x", "y", "size_x", "size_y").agg(F.sum("shared").alias("shared"))
+    pairs = pairs.join(sided("x"), "x", "left").join(sided("y"), "y", "left")
+    rest = lambda s: F.col(s) - F.floor(F.col(s) * (100 - PERCENT) / 100) - 1
+    most = F.col("shared") + F.least(F.coalesce("large_x", F.lit(0)), F.coalesce("large_y", F.lit(0))) + F.greatest(rest("size_x"), rest("size_y"))
+    pairs = pairs.where((100 + PERCENT) * most >= PERCENT * (F.col("size_x") + F.col("size_y"))).select("x", "y")
+    share = (F.col("large") / (F.floor(F.col("size") * (100 - PERCENT) / 100) + 1)).alias("share")
+    rated = members.join(large.select("node", share), "node")
+    centres = rated.groupBy("tile", "band").agg(F.max(F.struct("share", "node"))["node"].alias("centre"))
+    stars = members.join(centres, ["tile", "band"]).where("node <> centre").select(F.least("node", "centre").alias("x"), F.greatest("node", "centre").alias("y"))
+    return stash(pairs.unionByName(stars).distinct(), "candidate-pairs")
+
+
+def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, elements) of the nodes (node, doc_id), each read from that document; rows that repeat it give it again, and
+    other texts under the same id, a null one included, give theirs."""
+    ids = nodes.select(F.col("doc_id").alias("wanted")).distinct()
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, a, b, sets in _each_set(batches, 1):
-            ids = np.asarray(batch.column(0).slice(a, b - a).fill_null(-1)).astype(np.int64)
-            full = np.array([len(s) > 0 for s in sets], bool)
-            nodes = np.array([node_of(s) if len(s) else 0 for s in sets], np.int64)
-            hit = full
-            for at in places(nodes, ids):
-                hit = hit & ((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
-            rows = np.flatnonzero(hit)
-            yield _arrays([nodes[rows], [sets[k].astype("<u8").tobytes() for k in rows]], [pa.int64(), pa.binary()], ["node", "elements"])
+        for _, _, _, sets in _each_set(batches, 0):
+            full = [s for s in sets if len(s)]
+            yield _arrays([list(map(node_of, full)), [s.astype("<u8").tobytes() for s in full]], [pa.int64(), pa.binary()], ["node", "elements"])
 
-    return stash(docs.select("doc_id", "text").mapInArrow(pick, "node long, elements binary"), "candidate-sets")
+    picked = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+    return stash(picked.mapInArrow(pick, "node long, elements binary"), "candidate-sets")
 
 
 def most_overlap(size_x, size_y, bits_x: np.ndarray, bits_y: np.ndarray):
@@ -268,33 +281,6 @@ def similar(overlap, size_x, size_y):
     return 100 * overlap >= PERCENT * (size_x + size_y - overlap)
 
 
-#: Candidate components of up to so many nodes are decided within one task; pairs of larger ones are joined to their sets.
-MOST_TOGETHER = 20_000
-#: Nodes whose sets, and pairs that, one task takes, about.
-NODES_A_TASK, PAIRS_A_TASK = 2_000, 10_000
-
-
-def bounded_pairs(pairs: DataFrame, signs: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose sizes and bitmaps allow the similarity; signs: (node, size, bits)."""
-    sided = lambda k: signs.select(F.col("node").alias(k), F.col("size").alias(f"size_{k}"), F.col("bits").alias(f"bits_{k}"))
-    both = pairs.join(sided("x"), "x").join(sided("y"), "y")
-    both = both.where((100 * F.col("size_x") >= PERCENT * F.col("size_y")) & (100 * F.col("size_y") >= PERCENT * F.col("size_x"))).select("x", "y", "size_x", "size_y", "bits_x", "bits_y")
-
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sx, sy = (np.asarray(batch.column(k)).astype(np.int64) for k in (2, 3))
-            raw = [batch.column(k).to_pylist() for k in (4, 5)]
-            wide = np.array([[len(b) // 8 for b in r] for r in raw])
-            ok = np.zeros(batch.num_rows, bool)
-            for pair in np.unique(wide, axis=1).T:
-                at = np.flatnonzero((wide == pair[:, None]).all(0))
-                bits = [folded(np.frombuffer(b"".join([r[k] for k in at]), np.uint64).reshape(-1, w), int(pair.min())) for r, w in zip(raw, pair, strict=True)]
-                ok[at] = similar(most_overlap(sx[at], sy[at], *bits), sx[at], sy[at])
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["x", "y"])
-
-    return stash(both.mapInArrow(bound, "x long, y long"), "bounded-pairs")
-
-
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     """The similarity of two sorted arrays, by their exact intersection."""
     if len(a) > len(b):
@@ -303,64 +289,64 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return bool(similar(int((b[np.minimum(at, len(b) - 1)] == a).sum()), len(a), len(b)))
 
 
-def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links (x, y) that join what the similar ones among the pairs join. nodes: (node, doc_id), a document of each.
+class Joined(dict):
+    """Union-find; the root of what was never joined is itself."""
 
-    The sets of a candidate component meet in one task, where pairs that links have already joined are not looked at; a
-    component of more than MOST_TOGETHER nodes goes pair by pair.
+    def root(self, k):
+        while (up := self.get(k, k)) != k:
+            self[k] = self.get(up, up)
+            k = up
+        return k
+
+    def join(self, a, b) -> None:
+        a, b = self.root(a), self.root(b)
+        self[max(a, b)] = min(a, b)
+
+
+def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (x, y) that join what the similar ones among the pairs join.
+
+    Pairs are dealt by a label that two rounds of taking the least neighbour give, so that a group's sets travel about once; a
+    label of more than MOST_TOGETHER nodes is cut into pieces, and a set goes to the cells of its pairs alone.
     """
-    groups = stash(components(pairs, "candidate-components"), "candidate-labels")
-    sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    sets = candidate_sets(docs, groups.select("node").join(nodes, "node"))
-    release(docs.sparkSession)
-    large = sizes.where(F.col("n") > MOST_TOGETHER).select("label")
-    any_large = large.limit(1).count() > 0
-    tasks = max(1, -(-groups.count() // NODES_A_TASK), -(-pairs.count() // PAIRS_A_TASK))
-    task = F.pmod(F.xxhash64("label"), F.lit(tasks)).cast("int")
-    here = groups.join(large, "label", "left_anti") if any_large else groups
-    tasked = here.select("node", task.alias("task"))
-    pairs_here = pairs.join(tasked.select(F.col("node").alias("x"), (F.col("task") + 0).alias("task")), "x").select("task", "x", "y")
-    sets_here = sets.join(tasked, "node").select("task", "node", "elements")
+    ways = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    least = ways.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("least"))
+    label = ways.join(least.select(F.col("x").alias("y"), "least"), "y").groupBy("x").agg(F.min("least").alias("least"))
+    label = label.join(least.withColumnRenamed("least", "own"), "x").select(F.col("x").alias("node"), F.least("least", "own").alias("label"))
+    label = stash(label, "candidate-labels")
+    pieces = label.groupBy("label").agg(F.count(F.lit(1)).alias("n")).select("label", F.when(F.col("n") <= MOST_TOGETHER, 1).otherwise(F.ceil(F.col("n") / MOST_TOGETHER)).alias("pieces"))
+    dealt = pairs.join(label.withColumnRenamed("node", "x"), "x").join(pieces, "label")
+    i, j = (F.pmod(F.xxhash64(k), F.col("pieces")) for k in ("x", "y"))
+    cell = F.xxhash64("label", F.least(i, j), F.greatest(i, j))
+    celled = stash(dealt.select("x", "y", cell.alias("cell")), "candidate-cells")
+    seats = celled.select("cell", F.col("x").alias("node")).unionByName(celled.select("cell", F.col("y").alias("node")))
+    counts = celled.agg(F.count(F.lit(1)).alias("pairs"), F.approx_count_distinct(F.xxhash64("cell", "x")).alias("nodes")).first()
+    tasks = max(1, -(-counts["nodes"] // NODES_A_TASK), -(-counts["pairs"] // PAIRS_A_TASK))
+    task = F.pmod(F.col("cell"), F.lit(tasks)).cast("int").alias("task")
+    seated = seats.select(task, "node").distinct().join(sets, "node").select("task", "node", "elements")
 
     def decide(edges: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         arrays = {k: np.frombuffer(e, "<u8") for k, e in zip(own["node"], own["elements"], strict=True)}
-        bits = {k: np.frombuffer(signature(a, SHARP_BITS), np.uint64)[None] for k, a in arrays.items()}
+        bits: dict[int, np.ndarray] = {}
 
         def may_be(x: int, y: int) -> bool:
+            for k in (x, y):
+                if k not in bits:
+                    bits[k] = signature(arrays[k])
             words = min(bits[x].shape[1], bits[y].shape[1])
-            return bool(similar(most_overlap(len(arrays[x]), len(arrays[y]), folded(bits[x], words)[0], folded(bits[y], words)[0]), len(arrays[x]), len(arrays[y])))
-        root: dict[int, int] = {}
-
-        def find(k: int) -> int:
-            while (up := root.get(k, k)) != k:
-                root[k] = root.get(up, up)
-                k = up
-            return k
-
-        out = []
-        for x, y in sorted(zip(edges["x"], edges["y"], strict=True)):
-            a, b = find(x), find(y)
-            if a != b and may_be(x, y) and linked(arrays[x], arrays[y]):
-                root[max(a, b)] = min(a, b)
+            sizes = len(arrays[x]), len(arrays[y])
+            return bool(similar(min(sizes), *sizes)) and bool(similar(most_overlap(*sizes, folded(bits[x], words)[0], folded(bits[y], words)[0]), *sizes))
+
+        joined, out = Joined(), []
+        for x, y in sorted(zip(edges["x"].tolist(), edges["y"].tolist(), strict=True)):
+            if joined.root(x) != joined.root(y) and may_be(x, y) and linked(arrays[x], arrays[y]):
+                joined.join(x, y)
                 out.append((x, y))
         return pd.DataFrame(out, columns=["x", "y"], dtype="int64")
 
-    links = pairs_here.groupBy("task").cogroup(sets_here.groupBy("task")).applyInPandas(decide, "x long, y long")
-    if any_large:
-        wide = pairs.join(groups.join(large, "label").select(F.col("node").alias("x")), "x")
-        one = sets.dropDuplicates(["node"])
-        sided = lambda k: one.select(F.col("node").alias(k), F.col("elements").alias(f"elements_{k}"))
-        arrays = wide.join(sided("x"), "x").join(sided("y"), "y").select("x", "y", "elements_x", "elements_y")
-
-        def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ok = [linked(np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8")) for a, b in zip(batch.column(2), batch.column(3), strict=True)]
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], names=["x", "y"])
-
-        links = links.unionByName(arrays.mapInArrow(exact, "x long, y long"))
+    links = celled.select(task, "x", "y").groupBy("task").cogroup(seated.groupBy("task")).applyInPandas(decide, "x long, y long")
     out = stash(links, "links")
-    discard(sets)
-    release(docs.sparkSession)
+    discard(label, celled)
     return out
 
 
@@ -380,57 +366,98 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         # Small star: u and its smaller neighbours go to the least of these.
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b").select(F.col("m").alias("p"), F.col("a").alias("q")).unionByName(least.select(F.col("m").alias("p"), F.col("b").alias("q")))
-        edges = stash(small.where("p <> q").select(F.col("p").alias("a"), F.col("q").alias("b")).distinct(), name)
-    return edges.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct())
+        before, edges = edges, stash(small.where("p <> q").select(F.col("p").alias("a"), F.col("q").alias("b")).distinct(), name)
+        discard(before)
+    out = edges.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct())
+    out._stashed = edges._stashed
+    return out
 
 
-def across_tiles(found: DataFrame, labels: DataFrame, signs: DataFrame) -> DataFrame:
-    """Candidate pairs (x, y) of the large tiles between nodes that no link has joined yet and whose bitmaps allow it.
+def open_units(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(unit, node, size, band, label) of what must be compared in full: the large tiles that links have not joined into one.
 
-    A tile is cut by size band and, beyond TILE nodes, by hash; the pieces meet two by two, in tasks of bounded size.
+    Tiles that overlap share most of their pairs. Where they form a cluster that takes fewer seats in pieces than its tiles do
+    one by one, the cluster is the unit; otherwise each tile is.
+    """
+    known = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    tiles = known.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
+    rows = stash(known.join(tiles.select("tile", "first", "n"), "tile").select("tile", "node", "size", "band", "label", "first", "n"), "open-tiles")
+    clusters = components(rows.select(F.col("first").alias("x"), F.col("node").alias("y")), "clusters").withColumnRenamed("label", "cluster")
+    rows = rows.join(clusters, "node")
+    seats = lambda n: F.ceil(n / TILE) * n
+    one_by_one = rows.dropDuplicates(["tile"]).groupBy("cluster").agg(F.sum(seats(F.col("n"))).alias("apart"))
+    at_once = clusters.groupBy("cluster").agg(seats(F.count(F.lit(1))).alias("together"))
+    rows = rows.join(one_by_one.join(at_once, "cluster").select("cluster", (F.col("together") <= F.col("apart")).alias("whole")), "cluster")
+    unit = F.when(F.col("whole"), F.xxhash64(F.lit("cluster"), "cluster")).otherwise(F.xxhash64(F.lit("tile"), "tile"))
+    return stash(rows.select(unit.alias("unit"), "node", "size", "band", "label").distinct(), "open-units")
+
+
+def compare_units(units: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (x, y) between nodes of different labels of a unit: together with the labels they join all that its similar
+    pairs join.
+
+    The nodes of a unit's largest label, and the others, are dealt by size band into pieces of about TILE nodes; pieces of the
+    same or the next band meet in a cell each, but not two of the largest label.
     """
-    runs = found.where("tile is not null").groupBy("tile").agg(F.first("nodes").alias("nodes"))
+    sizes = units.groupBy("unit", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("unit").agg(F.max(F.struct("n", "label"))["label"].alias("largest"))
+    rows = units.join(sizes, "unit").withColumn("kind", (F.col("label") == F.col("largest")).cast("int"))
+    many = rows.groupBy("unit", "band", "kind").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("pieces"))
+    rows = rows.join(many, ["unit", "band", "kind"]).withColumn("piece", F.pmod(F.xxhash64("node", F.lit("piece")), F.col("pieces")))
+    piece = F.struct("band", "kind", "piece")
+    rows = rows.select("unit", "node", "label", piece.alias("piece"))
+    pieces = many.select("unit", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece"), "band", "kind").select("unit", piece.alias("piece"))
+    one, other = pieces.select("unit", F.col("piece").alias("p")), pieces.select("unit", F.col("piece").alias("q"))
+    cells = one.join(other, "unit").where("p <= q and abs(p.band - q.band) <= 1 and p.kind + q.kind < 2")
+    cells = cells.select("unit", F.xxhash64("unit", "p", "q").alias("cell"), F.explode(F.array_distinct(F.array("p", "q"))).alias("piece"), (F.col("p") == F.col("q")).alias("within"))
+    seated = rows.join(cells, ["unit", "piece"]).join(sets.dropDuplicates(["node"]), "node").select("cell", "within", F.xxhash64("piece").alias("side"), "node", "label", "elements")
+
+    def decide(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("node")
+        arrays = [np.frombuffer(e, "<u8") for e in part["elements"]]
+        size = np.array(list(map(len, arrays)))
+        node, label, side = (part[c].tolist() for c in ("node", "label", "side"))
+        own = [signature(a) for a in arrays]
+        words = min(b.shape[1] for b in own)
+        bits = np.concatenate([folded(b, words) for b in own])
+        within, sides = bool(part["within"].iloc[0]), part["side"].to_numpy()
+        joined, out = Joined(), []
+        for i in range(len(node)):
+            later = np.arange(i + 1, len(node))
+            if not within:
+                later = later[sides[later] != side[i]]
+            later = later[similar(np.minimum(size[i], size[later]), size[i], size[later])]
+            later = later[similar(most_overlap(size[i], size[later], bits[i], bits[later]), size[i], size[later])]
+            for j in later.tolist():
+                if joined.root(label[i]) != joined.root(label[j]) and linked(arrays[i], arrays[j]):
+                    joined.join(label[i], label[j])
+                    out.append((node[i], node[j]))
+        return pd.DataFrame(out, columns=["x", "y"], dtype="int64")
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for tile, nodes in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = np.frombuffer(nodes.as_buffer(), "<i8")
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), tile, np.int64)), pa.array(own)], names=["tile", "node"])
-
-    members = runs.mapInArrow(unpack, "tile long, node long").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_tiles = members.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("tile")
-    members = stash(members.join(open_tiles, "tile").join(signs, "node"), "open-tiles")
-    members = members.withColumn("band", F.floor(F.log("size") / math.log(100 / PERCENT) + 1e-9).cast("int"))
-    pieces = members.groupBy("tile", "band").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("pieces"))
-    members = members.join(pieces, ["tile", "band"]).withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
-    following = pieces.select("tile", (F.col("band") - 1).alias("band"), F.col("pieces").alias("above"))
-    before = pieces.select("tile", (F.col("band") + 1).alias("band"), F.col("pieces").alias("below"))
-    members = members.join(following, ["tile", "band"], "left").join(before, ["tile", "band"], "left")
-    seats = F.concat(
-        F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda k: F.struct(F.col("band").alias("band"), F.least("piece", k).alias("i"), F.greatest("piece", k).alias("j"), F.lit(0).alias("up"), F.lit(0).alias("side"))),
-        F.when(F.col("above").isNotNull(), F.transform(F.sequence(F.lit(0), F.col("above") - 1), lambda k: F.struct(F.col("band").alias("band"), F.col("piece").alias("i"), k.alias("j"), F.lit(1).alias("up"), F.lit(0).alias("side")))).otherwise(F.array().cast("array<struct<band:int,i:int,j:int,up:int,side:int>>")),
-        F.when(F.col("below").isNotNull(), F.transform(F.sequence(F.lit(0), F.col("below") - 1), lambda k: F.struct((F.col("band") - 1).alias("band"), k.alias("i"), F.col("piece").alias("j"), F.lit(1).alias("up"), F.lit(1).alias("side")))).otherwise(F.array().cast("array<struct<band:int,i:int,j:int,up:int,side:int>>")),
-    )
-    seated = members.select("tile", "node", "label", "size", "bits", F.explode(seats).alias("s")).select("tile", "s.*", "node", "label", "size", "bits")
-
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        least = min(map(len, part["bits"])) // 8
-        bits = np.concatenate([folded(np.frombuffer(b, np.uint64)[None], least) for b in part["bits"]])
-        node, label, size, side = (part[c].to_numpy(np.int64) for c in ("node", "label", "size", "side"))
-        up = part["up"].iloc[0] == 1
-        values, counts = np.unique(label, return_counts=True)
-        rest = np.flatnonzero(label != values[np.argmax(counts)])  # pairs within the largest component need no look
-        xs, ys = [], []
-        for i in rest:
-            other = (label != label[i]) & ((side != side[i]) if up else True)
-            at = np.flatnonzero(other)
-            ok = similar(most_overlap(size[i], size[at], bits[i], bits[at]), size[i], size[at])
-            ys.append(node[at[ok]])
-            xs.append(np.full(len(ys[-1]), node[i]))
-        x, y = (np.concatenate([np.zeros(0, np.int64), *v]) for v in (xs, ys))
-        return pd.DataFrame({"x": np.minimum(x, y), "y": np.maximum(x, y)})
-
-    return seated.groupBy("tile", "band", "i", "j", "up").applyInPandas(compare, "x long, y long").distinct()
+    return stash(seated.groupBy("cell").applyInPandas(decide, "x long, y long"), "unit-links")
+
+
+def similar_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tables (doc_id, n_shingles, node) of all rows of docs(doc_id, text), node null without words, and (node, label) of the
+    nodes that links join: label is the least node of the component."""
+    spark = docs.sparkSession
+    rows, common = document_nodes(docs)
+    found = shared_shingles(docs, common)
+    release(spark)
+    members = tile_members(found)
+    pairs = candidates(found, members)
+    discard(found)
+    wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).unionByName(members.select("node")).distinct()
+    stands = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    sets = candidate_sets(docs, stash(stands.join(wanted, "node", "left_semi"), "candidate-nodes"))
+    release(spark)
+    links = verify(pairs, sets)
+    labels = components(links)
+    units = open_units(members, labels)
+    if units.limit(1).count():
+        labels = components(links.unionByName(compare_units(units, sets)))
+    discard(sets, members, pairs, units)
+    release(spark)
+    return rows, labels
 
 
 def join_near_duplicates(docs: DataFrame) -> DataFrame:
@@ -438,26 +465,10 @@ def join_near_duplicates(docs: DataFrame) -> DataFrame:
 
     component_id is the least doc_id of the documents that links reach, the row's own included; null ids are left out of
     that, and a component of null ids alone has none. A null or empty text, or one without words, has no shingles and is
-    linked with nothing, not even its like. An empty table gives an empty result.
+    linked with nothing, not even its like. Ties need no rule: the similarity is compared in whole numbers, 0.8 itself links.
+    Whole texts count, however long. Other columns are not looked at. An empty table gives an empty result.
     """
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    spark = docs.sparkSession
-    rows, common = document_nodes(picked)
-    full = rows.where("node is not null").groupBy("node")
-    signs = full.agg(F.first("n_shingles").cast("int").alias("size"), F.first("bits").alias("bits"))
-    stands = full.agg(F.min("doc_id").alias("doc_id"))
-    found = tiles(picked, common)
-    release(spark)
-    in_tiles = found.where("tile is not null")
-    pairs = bounded_pairs(found.where("x is not null").select("x", "y").distinct(), signs)
-    release(spark)
-    links = verify(pairs, picked, stands)
-    labels = stash(components(links), "labels")
-    if in_tiles.limit(1).count():
-        more = stash(across_tiles(found, labels, signs), "tile-pairs")
-        if more.limit(1).count():
-            links = links.unionByName(verify(more, picked, stands))
-            labels = stash(components(links), "labels")
+    rows, labels = similar_nodes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
     nodes = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = nodes.groupBy("label").agg(F.min("least").alias("component_id"), F.sum("n").alias("n")).where("n > 1").drop("n")
@@ -466,13 +477,29 @@ def join_near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one row of each component: the least doc_id's (and of rows that repeat a doc_id, one). Rows without an id
-    or without words all stay. Columns stay as they are."""
-    joined = stash(join_near_duplicates(docs), "near-duplicates")
-    drop = joined.where("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
-    again = joined.where("doc_id = component_id and n_shingles > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if again.limit(1).count():
-        words = F.col("doc_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]")
-        left = left.where(words).dropDuplicates(["doc_id"]).unionByName(left.where(~F.coalesce(words, F.lit(False))))
-    return left
+    """docs with one row of each component: of the rows with the least doc_id those with the least node, and one of them.
+
+    Rows that share a doc_id but have different texts are settled row by row, so that an unlike text is never lost with its
+    like-named one. Rows without an id, or whose text is null, empty or without words, all stay. Columns stay as they are,
+    whatever their names. An empty table stays empty.
+    """
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows, labels = similar_nodes(slim)
+    known = rows.where("node is not null and doc_id is not null").select("doc_id", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    kept = known.groupBy("label").agg(F.min(F.struct("doc_id", "node")).alias("k")).select("label", F.col("k.doc_id").alias("kept_id"), F.col("k.node").alias("kept_node"))
+    ids = known.join(kept, "label").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("doc_id") == F.col("kept_id")) & (F.col("node") == F.col("kept_node"))).alias("stays"))
+    ids = stash(ids.where("n > 1 or not stays"), "near-duplicate-ids")
+    left = docs.join(ids, docs["doc_id"].cast("long") == ids["doc_id"], "left_anti")
+    again = ids.where("n > 1")
+    if not again.limit(1).count():
+        return left
+
+    @F.pandas_udf("long")
+    def node_column(texts: pd.Series) -> pd.Series:
+        return pd.Series([node_of(s) if len(s) else None for s in shingle_sets(texts.where(texts.notna(), None).tolist(), WordHashes())], dtype="Int64")
+
+    held = [F.col(f"`{c}`") for c in docs.columns]
+    several = docs.join(again, docs["doc_id"].cast("long") == again["doc_id"], "left_semi").select(F.struct(*held).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), node_column(F.col("text").cast("string")).alias("node"))
+    wordless = several.where("node is null")
+    one = several.where("node is not null").join(kept.select(F.col("kept_id").alias("doc_id"), F.col("kept_node").alias("node")), ["doc_id", "node"], "left_semi").dropDuplicates(["doc_id", "node"])
+    return left.unionByName(wordless.unionByName(one).select("row.*"))
