@@ -4,10 +4,10 @@ Documents with equal shingle sets are one node. Two nodes of similarity 0.8 or m
 of each set in one global order, the prefix; shingles that a sketch finds very common come last in that order. Nodes that
 share a prefix shingle form a tile.
 
-* A small tile gives its pairs whose sizes allow the similarity. Summed over all tiles, a pair's shared prefix shingles bound
+* A tile without crowded size bands gives its pairs whose sizes allow the similarity. Summed over all tiles, a pair's shared prefix shingles bound
   its intersection from above: what the set whose prefix ends first has in common with the other lies in its prefix, where it
   is counted, or in its rest. Pairs below the bound, nearly all accidental ones, go before any set is read.
-* A large tile gives no pairs but a star: in each size band, every node with the one whose prefix is shared most.
+* Any other tile is large and gives no pairs but a star: in each size band, every node with the one whose prefix is shared most.
 * The sets of surviving pairs meet in cells of bounded size, where hashed bitmaps bound the intersection once more (the set
   bits that differ are at most the elements that do) and the intersection of the sorted arrays decides.
 * Large tiles whose nodes the links have not joined into one component are compared in full, as size-banded tiles: pieces of
@@ -24,16 +24,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillwork.llm.shared import WordHashes, discard, mix, release, slices, stash, words_of
 
 SHINGLE, PERCENT = 5, 80
-#: Buckets of the sketch of common shingles, and how often the mean a common bucket is filled (16 times at least).
-SKETCH, COMMON = 1 << 20, 8
-#: Tiles up to this many nodes give all their pairs; larger ones a star each size band.
-SMALL_TILE = 24
+#: Buckets of the sketch of common shingles, the blocks and salts by which it is added up, and how far above the mean, in
+#: deviations of a Poisson count, and how full at least, a common bucket is.
+SKETCH, BLOCKS, SALTS, DEVIATIONS, LEAST_COMMON = 1 << 20, 256, 64, 6, 16
+#: Tiles where no node has more others above it within its size band give all such pairs; others a star each band.
+SMALL_TILE = 48
 #: Nodes of a piece of a large tile, or of a large candidate component; two pieces meet in a cell.
 TILE = 512
 #: Candidate components up to this many nodes are one cell.
@@ -123,33 +125,49 @@ def _each_set(batches: Iterator[pa.RecordBatch], column: int):
 
 def document_nodes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """A table (doc_id, n_shingles, node), node null for empty sets, and the sketch: how common each bucket is (0: not)."""
-    names, types = ["doc_id", "n_shingles", "node", "bucket", "filled"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+    names, types = ["doc_id", "n_shingles", "node", "block", "salt", "filled"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    wide = SKETCH // BLOCKS
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         sketch = np.zeros(SKETCH, np.int64)
         for batch, a, b, sets in _each_set(batches, 1):
             nodes = [node_of(s) if len(s) else None for s in sets]
             n = len(sets)
-            yield _arrays([batch.column(0).slice(a, b - a).to_pylist(), list(map(len, sets)), nodes, [None] * n, [None] * n], types, names)
+            yield _arrays([batch.column(0).slice(a, b - a).to_pylist(), list(map(len, sets)), nodes, [None] * n, [None] * n, [None] * n], types, names)
             if n:
-                at = (np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64)
-                sketch += np.bincount(at, minlength=SKETCH)
-        used = np.flatnonzero(sketch >= max(4, COMMON * sketch.mean() / 2))
-        none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(used.astype(np.int32)), pa.array(sketch[used])], names=names)
-        yield _arrays([[None], [None], [None], [-1], [int(sketch.sum())]], types, names)
-
-    both = stash(docs.mapInArrow(work, "doc_id long, n_shingles long, node long, bucket int, filled long"), "shingle-nodes")
-    filled = both.where("bucket is not null").groupBy("bucket").agg(F.sum("filled").alias("filled"))
-    mean = (filled.where("bucket = -1").first() or {"filled": 0})["filled"] / SKETCH
-    rows = filled.where((F.col("bucket") >= 0) & (F.col("filled") >= max(16, COMMON * mean))).toPandas()  # at most SKETCH / COMMON rows
-    common = np.zeros(SKETCH, np.int64)
-    common[rows["bucket"]] = rows["filled"]
+                sketch += np.bincount((np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+        if sketch.any():
+            none, salt = [None] * BLOCKS, TaskContext.get().partitionId() % SALTS
+            yield _arrays([none, none, none, range(BLOCKS), [salt] * BLOCKS, [_pressed(x) for x in sketch.reshape(BLOCKS, wide)]], types, names)
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(wide, np.int64)
+        for x in part["filled"]:
+            total += _unpressed(x)
+        return pd.DataFrame({"block": [part["block"].iloc[0]], "filled": [_pressed(total)]})
+
+    both = stash(docs.mapInArrow(work, "doc_id long, n_shingles long, node long, block int, salt int, filled binary"), "shingle-nodes")
+    salted = both.where("block is not null").groupBy("block", "salt").applyInPandas(add, "block int, filled binary")
+    sketch = np.zeros((BLOCKS, wide), np.int64)
+    for block, filled in salted.groupBy("block").applyInPandas(add, "block int, filled binary").toPandas().itertuples(index=False):  # SKETCH numbers
+        sketch[block] = _unpressed(filled)
+    sketch, mean = sketch.ravel(), sketch.mean()
+    common = np.where(sketch >= max(LEAST_COMMON, mean + DEVIATIONS * math.sqrt(mean)), sketch, 0)
     table = both.where("n_shingles is not null").select("doc_id", "n_shingles", "node")
     table._stashed = both._stashed
     return table, common
 
 
+def _pressed(counts: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _unpressed(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
 def shared_shingles(docs: DataFrame, common: np.ndarray) -> DataFrame:
     """What the prefix shingles of all nodes have in common, as a table (x, y, size_x, size_y, shared, tile, part, nodes, sizes).
 
@@ -188,37 +206,41 @@ def shared_shingles(docs: DataFrame, common: np.ndarray) -> DataFrame:
         key, part, node, size = (np.concatenate([p[k] for p in parts]) for k in range(4))
         del parts
         # One entry a shingle and node; shingles of a single node are done with.
-        order = np.lexsort((node, part, key))
-        key, part, node, size = key[order], part[order], node[order], size[order]
+        order = np.lexsort((node, size, part, key))
+        key, part, node, size = key[order], part[order], node[order], size[order].astype(np.int64)
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
         key, part, node, size = key[fresh], part[fresh], node[fresh], size[fresh]
         starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
         length = np.diff(starts, append=len(key))
-        run, first = np.repeat(length, length), np.repeat(starts, length)
-        small = np.flatnonzero((run > 1) & (run <= SMALL_TILE) & (part == 0))
-        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        whose, end = np.repeat(np.arange(len(starts)), length), np.repeat(starts + length, length)
+        # A tile is large if some node and the SMALL_TILE-th after it are of one band.
+        far = np.arange(len(key)) + SMALL_TILE
+        crowded = far < end
+        crowded[crowded] = PERCENT * size[far[crowded]] <= 100 * size[crowded]
+        large = np.bincount(whose, crowded | (part > 0), len(starts)) > 0
+        left, pairs = np.flatnonzero(~large[whose]), []
         for k in range(1, SMALL_TILE):
-            small = small[small + k < first[small] + run[small]]
-            if not len(small):
+            left = left[left + k < end[left]]
+            left = left[PERCENT * size[left + k] <= 100 * size[left]]
+            if not len(left):
                 break
-            a, b = size[small].astype(np.int64), size[small + k].astype(np.int64)
-            fits = (100 * a >= PERCENT * b) & (100 * b >= PERCENT * a)
-            pairs.append((small[fits], small[fits] + k))
+            pairs.append((left, left + k))
         if pairs:
             i, j = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
-            order = np.lexsort((node[j], node[i]))  # within a tile nodes ascend
+            i, j = np.where(node[i] < node[j], i, j), np.where(node[i] < node[j], j, i)
+            order = np.lexsort((node[j], node[i]))
             i, j = i[order], j[order]
             x, y = node[i], node[j]
-            at = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])) if len(x) else np.zeros(0, np.int64)
-            n = len(at)
-            columns = [pa.array(x[at]), pa.array(y[at]), pa.array(size[i[at]]), pa.array(size[j[at]]), pa.array(np.diff(at, append=len(x)).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(n, t) for t in types[5:])], names=names)
-        found: dict[int, list] = {}
-        for s in np.flatnonzero((first == np.arange(len(run))) & ((run > SMALL_TILE) | (part > 0))):
-            own = slice(s, s + run[s])
-            tile = (int(key[s]), int(part[s])) if part[s] else (node_of(node[own].view(np.uint64)), 0)
-            found.setdefault(tile, [0, own])[0] += 1
+            at = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+            columns = [pa.array(x[at]), pa.array(y[at]), pa.array(size[i[at]].astype(np.int32)), pa.array(size[j[at]].astype(np.int32)), pa.array(np.diff(at, append=len(x)).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(at), t) for t in types[5:])], names=names)
+        found: dict[tuple[int, int], list] = {}
+        for s, n in zip(starts[large].tolist(), length[large].tolist(), strict=True):
+            own = slice(s, s + n)
+            if part[s] or n > 1:
+                tile = (int(key[s]), int(part[s])) if part[s] else (node_of(np.sort(node[own]).view(np.uint64)), 0)
+                found.setdefault(tile, [0, own])[0] += 1
         for (tile, k), (times, own) in found.items():
             yield _arrays([[None], [None], [None], [None], [times], [tile], [k], [node[own].astype("<i8").tobytes()], [size[own].astype("<i4").tobytes()]], types, names)
 
