@@ -35,7 +35,7 @@ SHINGLE, PERCENT = 5, 80
 #: deviations of a Poisson count, and how full at least, a common bucket is.
 SKETCH, BLOCKS, SALTS, DEVIATIONS, LEAST_COMMON = 1 << 20, 256, 64, 6, 16
 #: Tiles where no node has more others above it within its size band give all such pairs; others a star each band.
-SMALL_TILE = 48
+SMALL_TILE = 12
 #: Nodes of a piece of a large tile, or of a large candidate component; two pieces meet in a cell.
 TILE = 512
 #: Candidate components up to this many nodes are one cell.
@@ -409,7 +409,8 @@ def open_units(members: DataFrame, labels: DataFrame) -> DataFrame:
     seats = lambda n: F.ceil(n / TILE) * n
     one_by_one = rows.dropDuplicates(["tile"]).groupBy("cluster").agg(F.sum(seats(F.col("n"))).alias("apart"))
     at_once = clusters.groupBy("cluster").agg(seats(F.count(F.lit(1))).alias("together"))
-    rows = rows.join(one_by_one.join(at_once, "cluster").select("cluster", (F.col("together") <= F.col("apart")).alias("whole")), "cluster")
+    ways = one_by_one.join(at_once, "cluster").select("cluster", (F.col("together") <= F.col("apart")).alias("whole"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("tile", "node"), F.lit(SALTS)).cast("int")).join(ways, ["cluster", "salt"])
     unit = F.when(F.col("whole"), F.xxhash64(F.lit("cluster"), "cluster")).otherwise(F.xxhash64(F.lit("tile"), "tile"))
     return stash(rows.select(unit.alias("unit"), "node", "size", "band", "label").distinct(), "open-units")
 
@@ -431,7 +432,8 @@ def compare_units(units: DataFrame, sets: DataFrame) -> DataFrame:
     one, other = pieces.select("unit", F.col("piece").alias("p")), pieces.select("unit", F.col("piece").alias("q"))
     cells = one.join(other, "unit").where("p <= q and abs(p.band - q.band) <= 1 and p.kind + q.kind < 2")
     cells = cells.select("unit", F.xxhash64("unit", "p", "q").alias("cell"), F.explode(F.array_distinct(F.array("p", "q"))).alias("piece"), (F.col("p") == F.col("q")).alias("within"))
-    seated = rows.join(cells, ["unit", "piece"]).join(sets.dropDuplicates(["node"]), "node").select("cell", "within", F.xxhash64("piece").alias("side"), "node", "label", "elements")
+    sets = sets.join(units.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    seated = rows.join(cells, ["unit", "piece"]).join(sets, "node").select("cell", "within", F.xxhash64("piece").alias("side"), "node", "label", "elements")
 
     def decide(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("node")
