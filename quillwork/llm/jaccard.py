@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillwork.llm.shared import WordHashes, discard, mix, release, slices, stash, words_of
@@ -44,6 +44,8 @@ MOST_TOGETHER = 256
 HOT = 1 << 17
 #: Bits of a signature: the least power of two that is so many times the set's size, and at least so many.
 BITS_EACH, LEAST_BITS = 16, 256
+#: Bits of the largest Bloom filter of wanted ids; 8 MB.
+MOST_BITS = 1 << 26
 #: Sets that one task takes, about, and pairs.
 NODES_A_TASK, PAIRS_A_TASK = 2_000, 10_000
 
@@ -250,7 +252,7 @@ def shared_shingles(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
 
 def tile_members(found: DataFrame) -> DataFrame:
-    """The large tiles as a table (tile, node, size, band, shared): shared shingles have just the tile's nodes."""
+    """The large tiles as a table (tile, node, size, band, large): large is how many shingles the node has in such tiles."""
     runs = found.where("tile is not null").groupBy("tile", "part").agg(F.sum("shared").alias("shared"), F.first("nodes").alias("nodes"), F.first("sizes").alias("sizes"))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,37 +262,85 @@ def tile_members(found: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), tile)), pa.array(own), pa.array(np.frombuffer(sizes.as_buffer(), "<i4")), pa.array(np.full(len(own), shared))], names=["tile", "node", "size", "shared"])
 
     band = F.floor(F.log("size") / math.log(100 / PERCENT) + 1e-9).cast("int")
-    return stash(runs.mapInArrow(unpack, "tile long, node long, size int, shared long").withColumn("band", band), "tile-members")
+    members = runs.mapInArrow(unpack, "tile long, node long, size int, shared long").withColumn("band", band)
+    large = members.groupBy("node").agg(F.sum("shared").alias("large"))
+    return stash(members.join(large, "node").drop("shared"), "tile-members")
+
+
+def allowed(shared: Column, size_x: str, size_y: str) -> Column:
+    """Whether two sets that share so many prefix shingles at most can be similar."""
+    rest = lambda s: F.col(s) - F.floor(F.col(s) * (100 - PERCENT) / 100) - 1
+    sizes = (100 * F.col(size_x) >= PERCENT * F.col(size_y)) & (100 * F.col(size_y) >= PERCENT * F.col(size_x))
+    return sizes & ((100 + PERCENT) * (shared + F.greatest(rest(size_x), rest(size_y))) >= PERCENT * (F.col(size_x) + F.col(size_y)))
 
 
 def candidates(found: DataFrame, members: DataFrame) -> DataFrame:
-    """(x, y): pairs of the small tiles that the count of shared prefix shingles allows, and the stars of the large tiles."""
-    large = members.groupBy("node").agg(F.sum("shared").alias("large"), F.first("size").alias("size"))
+    """(x, y): pairs of the small tiles that the count of shared prefix shingles allows, and the stars of the large tiles.
+
+    A pair that shares no small tile shares at most as many shingles as the one of fewer shingles in large tiles has.
+    """
+    large = members.groupBy("node").agg(F.first("large").alias("large"))
     sided = lambda k: large.select(F.col("node").alias(k), F.col("large").alias(f"large_{k}"))
     pairs = found.where("x is not null").groupBy("x", "y", "size_x", "size_y").agg(F.sum("shared").alias("shared"))
     pairs = pairs.join(sided("x"), "x", "left").join(sided("y"), "y", "left")
-    rest = lambda s: F.col(s) - F.floor(F.col(s) * (100 - PERCENT) / 100) - 1
-    most = F.col("shared") + F.least(F.coalesce("large_x", F.lit(0)), F.coalesce("large_y", F.lit(0))) + F.greatest(rest("size_x"), rest("size_y"))
-    pairs = pairs.where((100 + PERCENT) * most >= PERCENT * (F.col("size_x") + F.col("size_y"))).select("x", "y")
-    share = (F.col("large") / (F.floor(F.col("size") * (100 - PERCENT) / 100) + 1)).alias("share")
-    rated = members.join(large.select("node", share), "node")
-    centres = rated.groupBy("tile", "band").agg(F.max(F.struct("share", "node"))["node"].alias("centre"))
-    stars = members.join(centres, ["tile", "band"]).where("node <> centre").select(F.least("node", "centre").alias("x"), F.greatest("node", "centre").alias("y"))
+    most = F.col("shared") + F.least(F.coalesce("large_x", F.lit(0)), F.coalesce("large_y", F.lit(0)))
+    pairs = pairs.where(allowed(most, "size_x", "size_y")).select("x", "y")
+    share = F.col("large") / (F.floor(F.col("size") * (100 - PERCENT) / 100) + 1)
+    centres = members.groupBy("tile", "band").agg(F.max(F.struct(share.alias("share"), F.col("node").alias("centre"), F.col("size").alias("centre_size"), F.col("large").alias("centre_large"))).alias("c"))
+    stars = members.join(centres.select("tile", "band", "c.*"), ["tile", "band"]).where("node <> centre")
+    stars = stars.where(allowed(F.least("large", "centre_large"), "size", "centre_size")).select(F.least("node", "centre").alias("x"), F.greatest("node", "centre").alias("y"))
     return stash(pairs.unionByName(stars).distinct(), "candidate-pairs")
 
 
 def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, elements) of the nodes (node, doc_id), each read from that document; rows that repeat it give it again, and
-    other texts under the same id, a null one included, give theirs."""
-    ids = nodes.select(F.col("doc_id").alias("wanted")).distinct()
+    other texts under the same id, a null one included, give theirs, as do some that a Bloom filter of the ids lets through.
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The filter has 16 bits an id. For more than MOST_BITS / 16 ids it would pass a bound, and the ids are joined instead.
+    """
+    count = nodes.count()
+    width = 1 << max(16, (16 * count - 1).bit_length())
+
+    def places(ids: pa.Array) -> Iterator[np.ndarray]:
+        x = mix(np.asarray(ids.fill_null(-1)).astype(np.int64).view(np.uint64))
+        for _ in range(4):
+            x = mix(x + np.uint64(1))
+            yield (x & np.uint64(width - 1)).astype(np.int64)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(width, bool)
+        for batch in batches:
+            for at in places(batch.column(0)):
+                bits[at] = True
+        words = np.packbits(bits, bitorder="little").view(np.int64)
+        used = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(words[used])], names=["at", "bits"])
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, _, sets in _each_set(batches, 0):
             full = [s for s in sets if len(s)]
             yield _arrays([list(map(node_of, full)), [s.astype("<u8").tobytes() for s in full]], [pa.int64(), pa.binary()], ["node", "elements"])
 
-    picked = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
-    return stash(picked.mapInArrow(pick, "node long, elements binary"), "candidate-sets")
+    if width > MOST_BITS:
+        ids = nodes.select(F.col("doc_id").alias("wanted")).distinct()
+        picked = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+        return stash(picked.mapInArrow(sets_of, "node long, elements binary"), "candidate-sets")
+    words = nodes.select("doc_id").mapInArrow(fill, "at int, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
+    bloom = np.zeros(width // 64, np.int64)
+    bloom[words["at"]] = words["bits"]
+    shared = docs.sparkSession.sparkContext.broadcast(bloom.view(np.uint8))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def passed() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = np.ones(batch.num_rows, bool)
+                for at in places(batch.column(0)):
+                    hit &= (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array(hit))], names=["text"])
+
+        return sets_of(passed())
+
+    return stash(docs.select("doc_id", "text").mapInArrow(pick, "node long, elements binary"), "candidate-sets")
 
 
 def most_overlap(size_x, size_y, bits_x: np.ndarray, bits_y: np.ndarray):
@@ -396,14 +446,14 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
 
 
 def open_units(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(unit, node, size, band, label) of what must be compared in full: the large tiles that links have not joined into one.
+    """(unit, node, size, band, large, label) of what must be compared in full: the large tiles that links have not joined into one.
 
     Tiles that overlap share most of their pairs. Where they form a cluster that takes fewer seats in pieces than its tiles do
     one by one, the cluster is the unit; otherwise each tile is.
     """
     known = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     tiles = known.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
-    rows = stash(known.join(tiles.select("tile", "first", "n"), "tile").select("tile", "node", "size", "band", "label", "first", "n"), "open-tiles")
+    rows = stash(known.join(tiles.select("tile", "first", "n"), "tile").select("tile", "node", "size", "band", "large", "label", "first", "n"), "open-tiles")
     clusters = components(rows.select(F.col("first").alias("x"), F.col("node").alias("y")), "clusters").withColumnRenamed("label", "cluster")
     rows = rows.join(clusters, "node")
     seats = lambda n: F.ceil(n / TILE) * n
@@ -412,12 +462,11 @@ def open_units(members: DataFrame, labels: DataFrame) -> DataFrame:
     ways = one_by_one.join(at_once, "cluster").select("cluster", (F.col("together") <= F.col("apart")).alias("whole"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("tile", "node"), F.lit(SALTS)).cast("int")).join(ways, ["cluster", "salt"])
     unit = F.when(F.col("whole"), F.xxhash64(F.lit("cluster"), "cluster")).otherwise(F.xxhash64(F.lit("tile"), "tile"))
-    return stash(rows.select(unit.alias("unit"), "node", "size", "band", "label").distinct(), "open-units")
+    return stash(rows.select(unit.alias("unit"), "node", "size", "band", "large", "label").distinct(), "open-units")
 
 
-def compare_units(units: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (x, y) between nodes of different labels of a unit: together with the labels they join all that its similar
-    pairs join.
+def seat_units(units: DataFrame) -> DataFrame:
+    """(cell, within, side, node, label, size, large): the nodes of each cell that have another to be compared with there.
 
     The nodes of a unit's largest label, and the others, are dealt by size band into pieces of about TILE nodes; pieces of the
     same or the next band meet in a cell each, but not two of the largest label.
@@ -427,29 +476,51 @@ def compare_units(units: DataFrame, sets: DataFrame) -> DataFrame:
     many = rows.groupBy("unit", "band", "kind").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("pieces"))
     rows = rows.join(many, ["unit", "band", "kind"]).withColumn("piece", F.pmod(F.xxhash64("node", F.lit("piece")), F.col("pieces")))
     piece = F.struct("band", "kind", "piece")
-    rows = rows.select("unit", "node", "label", piece.alias("piece"))
+    rows = rows.select("unit", "node", "label", "size", "large", piece.alias("piece"))
     pieces = many.select("unit", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece"), "band", "kind").select("unit", piece.alias("piece"))
     one, other = pieces.select("unit", F.col("piece").alias("p")), pieces.select("unit", F.col("piece").alias("q"))
     cells = one.join(other, "unit").where("p <= q and abs(p.band - q.band) <= 1 and p.kind + q.kind < 2")
     cells = cells.select("unit", F.xxhash64("unit", "p", "q").alias("cell"), F.explode(F.array_distinct(F.array("p", "q"))).alias("piece"), (F.col("p") == F.col("q")).alias("within"))
-    sets = sets.join(units.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    seated = rows.join(cells, ["unit", "piece"]).join(sets, "node").select("cell", "within", F.xxhash64("piece").alias("side"), "node", "label", "elements")
+    seated = rows.join(cells, ["unit", "piece"]).select("cell", "within", F.xxhash64("piece").alias("side"), "node", "label", "size", "large")
+
+    def admit(part: pd.DataFrame) -> pd.DataFrame:
+        met = np.zeros(len(part), bool)
+        for i, later in meetings(part):
+            met[later] = True
+            met[i] |= len(later) > 0
+        return part[met]
+
+    return stash(seated.groupBy("cell").applyInPandas(admit, seated.schema), "unit-seats")
+
+
+def meetings(part: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, later rows) of a cell that are of different labels, and pieces if two meet, and that sizes and counts allow."""
+    size, large, label, side = (part[c].to_numpy() for c in ("size", "large", "label", "side"))
+    size = size.astype(np.int64)
+    rest, within = size - size * (100 - PERCENT) // 100 - 1, bool(part["within"].iloc[0])
+    for i in range(len(part) - 1):
+        k = slice(i + 1, None)
+        ok = (label[k] != label[i]) & similar(np.minimum(size[i], size[k]), size[i], size[k])
+        ok &= (100 + PERCENT) * (np.minimum(large[i], large[k]) + np.maximum(rest[i], rest[k])) >= PERCENT * (size[i] + size[k])
+        if not within:
+            ok &= side[k] != side[i]
+        yield i, np.flatnonzero(ok) + i + 1
+
+
+def compare_units(seats: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (x, y) between nodes of different labels: together with the labels they join all that the cells' similar pairs do."""
+    seated = seats.join(sets.dropDuplicates(["node"]), "node")
 
     def decide(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("node")
         arrays = [np.frombuffer(e, "<u8") for e in part["elements"]]
         size = np.array(list(map(len, arrays)))
-        node, label, side = (part[c].tolist() for c in ("node", "label", "side"))
+        node, label = part["node"].tolist(), part["label"].tolist()
         own = [signature(a) for a in arrays]
         words = min(b.shape[1] for b in own)
         bits = np.concatenate([folded(b, words) for b in own])
-        within, sides = bool(part["within"].iloc[0]), part["side"].to_numpy()
         joined, out = Joined(), []
-        for i in range(len(node)):
-            later = np.arange(i + 1, len(node))
-            if not within:
-                later = later[sides[later] != side[i]]
-            later = later[similar(np.minimum(size[i], size[later]), size[i], size[later])]
+        for i, later in meetings(part):
             later = later[similar(most_overlap(size[i], size[later], bits[i], bits[later]), size[i], size[later])]
             for j in later.tolist():
                 if joined.root(label[i]) != joined.root(label[j]) and linked(arrays[i], arrays[j]):
@@ -470,16 +541,27 @@ def similar_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = tile_members(found)
     pairs = candidates(found, members)
     discard(found)
-    wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).unionByName(members.select("node")).distinct()
     stands = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = candidate_sets(docs, stash(stands.join(wanted, "node", "left_semi"), "candidate-nodes"))
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        wanted = stash(stands.join(nodes.distinct(), "node", "left_semi"), "candidate-nodes")
+        sets = candidate_sets(docs, wanted)
+        discard(wanted)
+        return sets
+
+    sets = sets_of(pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))))
     release(spark)
     links = verify(pairs, sets)
     labels = components(links)
+    discard(sets, pairs)
+    release(spark)
     units = open_units(members, labels)
     if units.limit(1).count():
-        labels = components(links.unionByName(compare_units(units, sets)))
-    discard(sets, members, pairs, units)
+        seats = seat_units(units)
+        sets = sets_of(seats.select("node"))
+        labels = components(links.unionByName(compare_units(seats, sets)))
+        discard(sets, seats)
+    discard(members, units)
     release(spark)
     return rows, labels
 
