@@ -47,7 +47,9 @@ BITS_EACH, LEAST_BITS = 16, 256
 #: Bits of the largest Bloom filter of wanted ids; 8 MB.
 MOST_BITS = 1 << 26
 #: Sets that one task takes, about, and pairs.
-NODES_A_TASK, PAIRS_A_TASK = 2_000, 10_000
+NODES_A_TASK, PAIRS_A_TASK = 500, 2_500
+#: Seats that are broadcast at most, at 12 bytes each; more are joined by a shuffle.
+MOST_SEATS = 1 << 20
 
 
 def shingle_sets(texts: list[str | None], hashes: WordHashes) -> list[np.ndarray]:
@@ -395,7 +397,8 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     counts = celled.agg(F.count(F.lit(1)).alias("pairs"), F.approx_count_distinct(F.xxhash64("cell", "x")).alias("nodes")).first()
     tasks = max(1, -(-counts["nodes"] // NODES_A_TASK), -(-counts["pairs"] // PAIRS_A_TASK))
     task = F.pmod(F.col("cell"), F.lit(tasks)).cast("int").alias("task")
-    seated = seats.select(task, "node").distinct().join(sets, "node").select("task", "node", "elements")
+    seats = seats.select(task, "node").distinct()
+    seated = sets.join(F.broadcast(seats) if counts["nodes"] <= MOST_SEATS else seats, "node").select("task", "node", "elements")
 
     def decide(edges: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         arrays = {k: np.frombuffer(e, "<u8") for k, e in zip(own["node"], own["elements"], strict=True)}
