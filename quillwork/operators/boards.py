@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from math import ceil
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,49 +46,28 @@ def shared_candidates(pool: DataFrame) -> DataFrame:
 def assign_winners(rows: pd.DataFrame, capacity: int) -> pd.DataFrame:
     """Each coordinate on one board: the rows of a pool (board_id, priority, seen, rank, score, example_id, position) that win.
 
-    Boards start with their first `capacity`. A coordinate on several stays where its rank is best (then score, board
-    priority); in board order, free places go to the best runner-up that no board has; this repeats until nothing moves.
-    Boards of one family stand in the order in which their first candidate was seen.
+    Of the first `capacity` rows of all boards each coordinate keeps its strongest: best rank, then score, board priority and
+    board order. The places this frees are filled board by board with the best rows whose coordinates no board holds; each
+    such row takes its coordinate off the lists of the boards that follow. Nothing can move after that, as no coordinate is
+    held twice. Boards of one family stand in the order in which their first candidate was seen.
     """
-    pool: dict[str, list] = {}
-    order: dict[str, tuple] = {}
-    for r in rows.sort_values(["priority", "seen", "board_id", "rank"]).itertuples():
-        pool.setdefault(r.board_id, []).append(((r.example_id, r.position), r.rank, r.score))
-        order[r.board_id] = (r.priority, r.seen, r.board_id)
-    boards = sorted(pool, key=order.get)
-    places = {b: {c: (k, s) for c, k, s in pool[b]} for b in boards}
-    winners = {b: [c for c, _, _ in pool[b][:capacity]] for b in boards}
-    filled = dict.fromkeys(boards, 0)
-    moved = True
-    while moved:
-        moved = False
-        holders = defaultdict(list)
-        for b in boards:
-            for c in winners[b]:
-                holders[c].append(b)
-        for c in sorted(c for c, bs in holders.items() if len(bs) > 1):
-            best = min(holders[c], key=lambda b: (places[b][c][0], -places[b][c][1], order[b][0]))
-            for b in holders[c]:
-                if b != best:
-                    winners[b].remove(c)
-                    moved = True
-        taken = {c for b in boards for c in winners[b]}
-        for b in boards:
-            for c, _, _ in pool[b]:
-                if len(winners[b]) >= capacity:
-                    break
-                if c not in taken:
-                    winners[b].append(c)
-                    winners[b].sort(key=lambda x, b=b: places[b][x][0])
-                    taken.add(c)
-                    filled[b] += 1
-                    moved = True
-    members = defaultdict(int)
-    for b in boards:
-        for c in places[b]:
-            members[c] += 1
-    out = [(b, order[b][0], *c, places[b][c][0], places[b][c][1], members[c], filled[b]) for b in boards for c in winners[b]]
-    return pd.DataFrame(out, columns=["board_id", "priority", "example_id", "position", "rank", "score", "boards", "backfills"])
+    rows = rows.sort_values(["priority", "seen", "board_id", "rank"], ignore_index=True)
+    rows["place"] = rows.groupby(["priority", "seen", "board_id"], sort=False).ngroup()
+    rows["at"] = rows.groupby(["example_id", "position"], sort=False).ngroup()
+    rows["boards"] = rows.groupby("at")["board_id"].transform("size")
+    opening = rows[rows.groupby("place").cumcount() < capacity]
+    strongest = opening.assign(weakness=-opening["score"]).sort_values(["rank", "weakness", "priority", "place"]).drop_duplicates("at").index
+    won = rows.index.isin(strongest)
+    rows["backfills"] = 0
+    free = capacity - pd.Series(won).groupby(rows["place"]).sum()
+    held = np.zeros(rows["at"].max() + 1 if len(rows) else 0, bool)
+    held[rows["at"][won]] = True
+    for place in free.index[free > 0]:
+        own = rows.index[rows["place"] == place]
+        more = own[~held[rows["at"][own]]][: free[place]]
+        won[more], held[rows["at"][more]] = True, True
+        rows.loc[own, "backfills"] = len(more)
+    return rows.loc[won, ["board_id", "priority", "example_id", "position", "rank", "score", "boards", "backfills"]].reset_index(drop=True)
 
 
 def select_exemplars(scores: DataFrame, capacity: int, budget: int | None = None, fraction: float | None = None) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-from collections import deque
 from dataclasses import dataclass
 from decimal import ROUND_FLOOR, Decimal
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,6 +18,9 @@ CORRIDOR, GLOBAL = "fingerprint_corridor_representative", "global_board"
 #: Assignment states that count as no assignment.
 UNASSIGNED = ("missing", "unassigned", "failed", "invalid")
 
+#: Rows of the boards' pools that claims, which go board by board, take on the driver.
+MOST_SUPPLY_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class Archetype:
@@ -152,51 +156,62 @@ class Supply:
     candidates: tuple[tuple[str, int, int, float, bool], ...]
 
 
+def board_walk(board: Supply, owner: dict[tuple[str, int], str], target: int) -> pd.DataFrame:
+    """The candidates that a board looks at until it has `target` claims, as rows (at, rank, score, status, place, filled).
+
+    status: ineligible, corridor_collision or global_collision (the coordinate has an owner, or stood higher on the board), or
+    free. place counts the free rows, and filled the replacements among them: a claim is one if an earlier skip still waits.
+    """
+    rows = pd.DataFrame(board.candidates, columns=["example_id", "position", "rank", "score", "eligible"])
+    rows["at"] = pd.Series(list(zip(rows["example_id"], rows["position"], strict=True)), dtype=object)
+    able = rows["eligible"].to_numpy(bool)
+    held = np.array([owner.get(at, "") for at in rows["at"]], dtype=object)
+    held[rows.index[able][rows["at"][able].duplicated() & (held[able] == "")]] = "global"
+    rows["status"] = np.select([~able, held != ""], ["ineligible", held + "_collision"], "free")
+    free = (rows["status"] == "free").to_numpy()
+    rows["place"] = free.cumsum()
+    rows = rows[rows["place"] - free < target]
+    free = free[: len(rows)]
+    # A queue: skips come, claims take one each; those that found it empty are the highest excess of claims over skips so far.
+    idle = np.maximum.accumulate(np.maximum(0, free.cumsum() - (~free).cumsum())) if len(rows) else np.zeros(0, int)
+    return rows.assign(filled=free.cumsum() - idle)
+
+
 def claim(corridor: list[tuple[int, int, str, int, float]], boards: list[Supply], total: int) -> tuple[list[dict], list[dict], list[dict]]:
     """Corridor candidates (mode, rank, example, position, score) are claimed first; boards fill what is left of the total.
 
     Returns the claimed coordinates with their obligations, the lineage of skipped candidates, and a summary a board. A board
-    passes over ineligible candidates and coordinates already claimed (which gain an obligation); each later claim replaces
-    the longest waiting one of these.
+    passes over ineligible candidates and coordinates already claimed (which gain an obligation); its n-th replacement pairs
+    with its n-th skip. A coordinate of two modes is an error.
     """
-    obligations: dict[tuple[str, int], list[dict]] = {}
-    order: list[tuple[tuple[str, int], str, str, bool]] = []
+    first = pd.DataFrame(sorted(corridor), columns=["mode", "rank", "example_id", "position", "score"])
+    if first.duplicated(["example_id", "position"]).any():
+        raise ValueError("a coordinate is a candidate of more than one mode")
+    claims = [
+        {"example_id": r.example_id, "position": r.position, "primary": CORRIDOR, "source": str(r.mode), "backfilled": False, "obligations": [{"role": CORRIDOR, "source_id": str(r.mode), "rank": r.rank, "score": r.score, "priority": -1}]}
+        for r in first.itertuples()
+    ]
+    owner = {(c["example_id"], c["position"]): "corridor" for c in claims}
+    duties = {at: c["obligations"] for at, c in zip(owner, claims, strict=True)}
     lineage, summaries = [], []
-    for mode, rank, example, position, score in sorted(corridor):
-        obligations[example, position] = [{"role": CORRIDOR, "source_id": str(mode), "rank": rank, "score": score, "priority": -1}]
-        order.append(((example, position), CORRIDOR, str(mode), False))
-    left = total - len(order)
-    used = 0
     for board in sorted(boards, key=lambda b: (b.priority, b.board_id)):
-        target, done, waiting = min(board.requested, max(0, left - used)), 0, deque()
-        hits = barred = filled = 0
-        for example, position, rank, score, eligible in board.candidates:
-            if done >= target:
-                break
-            at = (example, position)
-            if not eligible:
-                waiting.append((at, rank, "ineligible"))
-                barred += 1
-                continue
-            duty = {"role": GLOBAL, "source_id": board.board_id, "rank": rank, "score": score, "priority": board.priority}
-            if at in obligations:
-                kind = "corridor" if obligations[at][0]["role"] == CORRIDOR else "global"
-                obligations[at].append(duty)
-                waiting.append((at, rank, f"{kind}_collision"))
-                hits += 1
-                continue
-            obligations[at] = [duty]
-            order.append((at, GLOBAL, board.board_id, bool(waiting)))
-            filled += bool(waiting)
-            done += 1
-            if waiting:
-                skipped, skipped_rank, reason = waiting.popleft()
-                lineage.append({"board_id": board.board_id, "skipped_rank": skipped_rank, "skipped": skipped, "reason": reason, "replacement_rank": rank, "replacement": at})
-        lineage += [{"board_id": board.board_id, "skipped_rank": r, "skipped": s, "reason": why, "replacement_rank": None, "replacement": None} for s, r, why in waiting]
-        used += done
-        summaries.append({"board_id": board.board_id, "target": target, "fulfilled": done, "collisions": hits, "ineligible": barred, "backfills": filled, "exhausted": done < target})
-    claims = [{"example_id": at[0], "position": at[1], "claim_order": k, "primary": primary, "source": source, "backfilled": back, "obligations": obligations[at]} for k, (at, primary, source, back) in enumerate(order)]
-    return claims, lineage, summaries
+        target = min(board.requested, max(0, total - len(claims)))
+        rows = board_walk(board, owner, target)
+        taken, skipped = rows[rows["status"] == "free"], rows[rows["status"] != "free"]
+        replaces = taken["filled"].diff().fillna(taken["filled"]) > 0
+        for r, back in zip(taken.itertuples(), replaces, strict=True):
+            owner[r.at], duties[r.at] = "global", []
+            claims.append({"example_id": r.at[0], "position": r.at[1], "primary": GLOBAL, "source": board.board_id, "backfilled": bool(back), "obligations": duties[r.at]})
+        for r in rows[rows["status"] != "ineligible"].itertuples():
+            duties[r.at].append({"role": GLOBAL, "source_id": board.board_id, "rank": r.rank, "score": r.score, "priority": board.priority})
+        left = skipped.assign(n=range(1, len(skipped) + 1))[["n", "rank", "at", "status"]]
+        right = taken[replaces].assign(n=range(1, int(replaces.sum()) + 1))[["n", "rank", "at"]]
+        for r in left.merge(right, on="n", how="left", suffixes=("", "_by")).itertuples():
+            met = isinstance(r.at_by, tuple)
+            lineage.append({"board_id": board.board_id, "skipped_rank": r.rank, "skipped": r.at, "reason": r.status, "replacement_rank": int(r.rank_by) if met else None, "replacement": r.at_by if met else None})
+        barred = int((rows["status"] == "ineligible").sum())
+        summaries.append({"board_id": board.board_id, "target": target, "fulfilled": len(taken), "collisions": len(skipped) - barred, "ineligible": barred, "backfills": int(replaces.sum()), "exhausted": len(taken) < target})
+    return [c | {"claim_order": k} for k, c in enumerate(claims)], lineage, summaries
 
 
 def payload_key(example: str, position: int) -> str:
@@ -210,8 +225,13 @@ def payload_key_column(example: Column, position: Column) -> Column:
 
 def claim_selected(pool: DataFrame, plan: DataFrame, boards: DataFrame, capacity: int, total: int) -> tuple[list[dict], list[dict], list[dict]]:
     """claim() over the first slots of each mode's pool and the boards' pools; both are bounded. Boards stand in the order of
-    their ids, as published supplies carry no priority."""
+    their ids, as published supplies carry no priority. A coordinate of two modes stops it before any claim."""
+    if crossing(pool).limit(1).count():
+        raise ValueError("a coordinate is in the pools of more than one mode")
     corridor = pool.join(plan.select("mode_id", "slots"), "mode_id").where("rank <= slots").select("mode_id", "rank", "example_id", "position", "utility").collect()
+    held = boards.limit(MOST_SUPPLY_ROWS + 1).count()
+    if held > MOST_SUPPLY_ROWS:
+        raise ValueError(f"the boards' pools hold more than {MOST_SUPPLY_ROWS} rows: use larger shards or a smaller capacity")
     rows = boards.orderBy("board_id", "rank").collect()
     by: dict[str, list] = {}
     for r in rows:

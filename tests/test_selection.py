@@ -73,6 +73,45 @@ def test_claims_collide_backfill_and_pair_in_order():
     assert rows[0][4] == f"{selection.CORRIDOR},{selection.GLOBAL}" and rows[0][8] and rows[1][6] == "b1,b2"
 
 
+def walk(corridor_rows, supplies, total):
+    """The claims by their definition, one candidate at a time."""
+    owner, sources, pairs = {(e, p): "corridor" for _, _, e, p, _ in sorted(corridor_rows)}, [], []
+    for b in sorted(supplies, key=lambda b: (b.priority, b.board_id)):
+        room, queue = min(b.requested, max(0, total - len(owner))), []
+        for e, p, rank, _, able in b.candidates:
+            if room == 0:
+                break
+            if not able or (e, p) in owner:
+                queue.append((e, p))
+                continue
+            owner[e, p], room = "global", room - 1
+            sources.append((e, p, b.board_id))
+            if queue:
+                pairs.append((b.board_id, queue.pop(0), (e, p)))
+        pairs += [(b.board_id, x, None) for x in queue]
+    return list(owner), sources, sorted(pairs, key=str)
+
+
+def test_claims_equal_a_walk_over_random_boards():
+    rng = np.random.default_rng(11)
+    for _ in range(200):
+        coordinates = [(f"e{rng.integers(0, 8)}", int(rng.integers(0, 3))) for _ in range(30)]
+        corridor_rows = [(k % 3, k, *c, 0.5) for k, c in enumerate(dict.fromkeys(coordinates[: rng.integers(0, 6)]))]
+        supplies = [selection.Supply(f"b{k}", int(rng.integers(0, 2)), int(rng.integers(0, 7)), tuple((*coordinates[i], n + 1, 1.0 - n / 9, bool(rng.random() < 0.8)) for n, i in enumerate(rng.integers(0, 30, rng.integers(0, 12))))) for k in range(4)]
+        for total in (4, 9, 20):
+            claims, lineage, summaries = selection.claim(corridor_rows, supplies, total)
+            order, sources, pairs = walk(corridor_rows, supplies, total)
+            assert [(c["example_id"], c["position"]) for c in claims] == order
+            assert [(c["example_id"], c["position"], c["source"]) for c in claims if c["primary"] == selection.GLOBAL] == sources
+            assert sorted(((x["board_id"], x["skipped"], x["replacement"]) for x in lineage), key=str) == pairs
+            assert sum(s["fulfilled"] for s in summaries) == len(sources) and sum(s["backfills"] for s in summaries) == sum(y is not None for _, _, y in pairs) == sum(c["backfilled"] for c in claims)
+
+
+def test_claims_reject_a_coordinate_of_two_modes():
+    with pytest.raises(ValueError, match="more than one mode"):
+        selection.claim([(0, 1, "a", 0, 0.9), (1, 1, "a", 0, 0.8)], [], 5)
+
+
 def pool_frame(entries, capacity):
     rows = []
     for board, (priority, seen, cands) in entries.items():
@@ -103,6 +142,28 @@ def test_winners_are_disjoint_and_full_for_random_pools():
         assert again.equals(got)
 
 
+def test_winners_equal_rounds_of_moves():
+    """Rounds until nothing moves: coordinates held twice stay where they are strongest, then free places are filled in board order."""
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        entries = {b: (p, str(p), [(f"e{k}", float(rng.integers(0, 5))) for k in range(12) if rng.random() < 0.6]) for p, b in enumerate("ghij")}
+        frame = pool_frame(entries, 2)
+        rank = {(r.board_id, r.example_id): (r.rank, -r.score, r.priority) for r in frame.itertuples()}
+        lists = {b: [e for (x, e) in sorted(rank, key=rank.get) if x == b] for b in entries}
+        hold, before = {b: set(lists[b][:2]) for b in entries}, None
+        while hold != before:
+            before = {b: set(x) for b, x in hold.items()}
+            for e in {e for x in hold.values() for e in x}:
+                at = sorted((b for b in hold if e in hold[b]), key=lambda b: rank[b, e])
+                for b in at[1:]:
+                    hold[b].discard(e)
+            for b in entries:
+                free = [e for e in lists[b] if not any(e in x for x in hold.values())]
+                hold[b] |= set(free[: 2 - len(hold[b])])
+        got = boards.assign_winners(frame, 2)
+        assert {(r.board_id, r.example_id) for r in got.itertuples()} == {(b, e) for b, x in hold.items() for e in x}
+
+
 def test_budget_orders_by_rank_before_id(spark):
     scores = spark.createDataFrame([("low_confidence", 0.9, "z", 0), ("low_confidence", 0.8, "a", 0), ("low_confidence", 0.7, "b", 0)], "board_id string, score double, example_id string, position int")
     got = boards.select_exemplars(scores, 4, budget=2).orderBy("selection_rank").collect()
