@@ -1,21 +1,24 @@
 """Language-model scoring: a hierarchical Pitman-Yor model of word pairs.
 
 Each word's followers sit in a restaurant of their own; all these share one parent, the restaurant of single words, whose
-base is uniform over the known words and one unknown. Seating is sampled by Gibbs moves: a customer of each dish gets up,
-and sits down again at an old table in proportion to its size less the discount, or at a new one in proportion to the
-parent's probability; new tables are customers of the parent. The predictive probability is the average over the sampled
-seatings (it is linear in the numbers of tables, so their means are kept).
+base is uniform over the known words and one unknown. What the model needs of a seating is the number of tables of each dish.
+A Gibbs step draws that of a whole dish at once, all its customers reseated, from its exact conditional distribution: with c
+customers, P(t) is in proportion to the generalised Stirling number of c and t times the weights of the t tables opened.
+Contexts and parent take turns for ROUNDS rounds; tables of the contexts are customers of the parent. The predictive
+probability is the mean over the joint samples of the rounds after BURN.
 
 All counts are over all training documents. The work goes by blocks of documents and by buckets of hashed contexts and
-words: blocks send their distinct pairs to the context buckets, these and the word buckets (the parent) exchange tables and
-probabilities, and each block gets back what its own pairs need. Restaurants of very common contexts are dealt over all
-buckets. Within a round all dishes move against the table totals of the round before.
+words: blocks send their distinct pairs to the context buckets, these and the word buckets (the parent) exchange tables, and
+each block gets back the probabilities of its pairs. Restaurants of very common contexts are dealt over several buckets,
+their totals added up each round. Within a round all dishes of a restaurant move against its total of the round before.
+Draws are keyed by the hashes of the words, so that scores depend neither on blocks and buckets nor on the input's layout.
 """
 
 from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -28,7 +31,9 @@ from quillwork.llm.shared import WordHashes, discard, mix, release, slices, stas
 
 #: Concentrations of the context restaurants and of the parent; the parent's discount. The context discount follows the counts.
 STRENGTH, ROOT_STRENGTH, ROOT_DISCOUNT = 1.0, 10.0, 0.5
-ROUNDS, BURN = 8, 4
+ROUNDS, BURN = 5, 2
+#: Customers and tables up to which ratios of Stirling numbers are tabled; beyond, their asymptotic forms are used.
+MOST_CUSTOMERS, MOST_TABLES = 2048, 48
 BLOCK_TOKENS, BUCKET_PAIRS = 2_500_000, 2_500_000
 #: Hashes of a text's end and of what stands before its first word; the latter sorts last.
 END, START = 0xE5D, 0xFFFFFFFFFFFFFFFF
@@ -53,74 +58,93 @@ def held_out(key):
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(FOLDS)) == HELD, F.lit(False))
 
 
-def seat(c: np.ndarray, alpha: np.ndarray, d: float) -> np.ndarray:
-    """About as many tables as c customers of one dish are expected to open, new ones having weight alpha: a start."""
-    t, seen = np.ones(len(c)), np.ones(len(c))
-    for _ in range(40):
-        step = np.minimum(c - seen, np.maximum(1, seen * 0.5))
-        if not step.any():
-            break
-        t += step * alpha / (alpha + np.maximum(seen - d * t, 1e-9))
-        seen += step
-    return np.clip(np.rint(t), 1, c).astype(np.int64)
-
-
-class Seating:
-    """Tables of many dishes (customers c each, two or more) as flat arrays; dishes have a new table's weight each."""
-
-    def __init__(self, c: np.ndarray, alpha: np.ndarray, d: float, seed: int):
-        self.c, self.d, self.rng = c, d, np.random.default_rng(seed)
-        self.t = seat(c, alpha, d)
-        self.size = np.ones(int(self.t.sum()), np.int64)
-        self.dish = np.repeat(np.arange(len(c)), self.t)
-        self.size[np.cumsum(self.t) - 1] = c - self.t + 1
-
-    def round(self, alpha: np.ndarray) -> None:
-        """One Gibbs move a dish."""
-        n = len(self.c)
-        if not n:
-            return
-        before = np.cumsum(self.c) - self.c
-        at = np.searchsorted(np.cumsum(self.size), before + (self.rng.random(n) * self.c).astype(np.int64), "right")
-        self.size[at] -= 1
-        self.t -= self.size[at] == 0
-        weight = np.where(self.size > 0, self.size - self.d, 0.0)
-        ends = np.cumsum(weight)
-        last = np.searchsorted(self.dish, np.arange(n), "right") - 1
-        first = np.searchsorted(self.dish, np.arange(n), "left")
-        low = ends[first] - weight[first]
-        stay = np.maximum(ends[last] - low, 0.0)
-        draw = self.rng.random(n) * (alpha + stay)
-        new = (draw >= stay) | (self.t == 0)
-        to = np.clip(np.searchsorted(ends, low + draw, "right"), first, last)[~new]
-        to = np.where(self.size[to] > 0, to, at[~new])
-        gone = self.size[to] == 0  # only by rounding: then the customer goes back
-        self.size[to] += 1
-        self.t[self.dish[to[gone]]] += 1
-        self.t += new
-        fresh = np.flatnonzero(new)
-        keep = self.size > 0
-        dish, size = np.concatenate([self.dish[keep], fresh]), np.concatenate([self.size[keep], np.ones(len(fresh), np.int64)])
-        order = np.argsort(dish, kind="stable")
-        self.dish, self.size = dish[order], size[order]
+class Ratios:
+    """S(c, t) / S(c, t - 1) for generalised Stirling numbers S of discount d, 2 <= t <= c."""
+
+    def __init__(self, d: float):
+        self.d, t = d, np.arange(2, MOST_TABLES + 1)
+        self.table = np.zeros((MOST_CUSTOMERS + 1, MOST_TABLES + 1))
+        row = np.zeros(len(t))
+        for c in range(1, MOST_CUSTOMERS):
+            # S(c + 1, t) = S(c, t - 1) + (c - t d) S(c, t); what S(c, t) isn't there is 0.
+            before = np.concatenate([[0.0], 1 / np.where(row[:-1] > 0, row[:-1], 1.0)])
+            row = np.where(t <= c + 1, (1 + (c - t * d) * row) / np.maximum(before + c - (t - 1) * d, 1e-300), 0.0)
+            self.table[c + 1, 2:] = row
+        # Many tables: S(c, t) is c! / t! times a coefficient of (f(x))^t, f(x) = (1 - (1 - x)^d) / d, taken at its saddle point.
+        y = np.concatenate([1 - np.geomspace(1e-9, 0.5, 2000), np.geomspace(0.5, 1e-300, 8000)[1:]])
+        f = -np.expm1(d * np.log(y)) / d
+        self.log_c_t, self.log_f = np.log((1 - y) * y ** (d - 1) / f), np.log(f)
+
+    def __call__(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
+        few = np.minimum(t, MOST_TABLES)
+        out = self.table[np.minimum(c, MOST_CUSTOMERS), few]
+        long = np.flatnonzero((c > MOST_CUSTOMERS) & (t <= MOST_TABLES))
+        if len(long):  # the ratio tends to 1 / (d (t - 1)) as c^-d tends to 0
+            limit = self.d * (few[long] - 1)
+            out[long] = np.exp(np.log(out[long] * limit) * (c[long] / MOST_CUSTOMERS) ** -self.d) / limit
+        wide = np.flatnonzero(t > MOST_TABLES)
+        if len(wide):
+            out[wide] = np.exp(np.interp(np.log(c[wide] / (t[wide] - 0.5)), self.log_c_t, self.log_f)) / t[wide]
+        return out
+
+
+_RATIOS: dict[float, Ratios] = {}
+
+
+def ratios(d: float) -> Ratios:
+    if d not in _RATIOS:
+        _RATIOS.clear() if len(_RATIOS) > 4 else None
+        _RATIOS[d] = Ratios(d)
+    return _RATIOS[d]
+
+
+def draw_tables(c: np.ndarray, first: np.ndarray, growth: np.ndarray, d: float, key: np.ndarray) -> np.ndarray:
+    """The number of tables of each dish, drawn from its conditional distribution given all other dishes.
+
+    c: customers; opening a table where i are open weighs first + growth * i; key: a random 64-bit number a dish, which alone
+    decides its draw. The sum over t starts at most 12 deviations below the mode and ends where nothing is left to add.
+    """
+    out = np.minimum(c, 1).astype(np.int64)
+    ratio = ratios(d)
+    at = np.flatnonzero(c >= 2)
+    if not len(at):
+        return out
+    n, a, g, key = c[at].astype(np.int64), first[at], growth[at], key[at]
+    low = np.ones(len(at), np.int64)
+    rising = np.flatnonzero((a + g) * ratio(n, np.full(len(at), 2)) > 1)
+    if len(rising):  # the mode, by bisection: weights rise to it and then fall
+        lo, hi = np.ones(len(rising), np.int64), n[rising].copy()
+        while (hi - lo > 1).any():
+            mid = (lo + hi) // 2
+            up = (a[rising] + g[rising] * (mid - 1)) * ratio(n[rising], np.maximum(mid, 2)) > 1
+            lo, hi = np.where(up, mid, lo), np.where(up, hi, mid)
+        low[rising] = np.maximum(1, (lo - 12 * np.sqrt(lo) - 12).astype(np.int64))
+    t, weight, total, taken = low.copy(), np.ones(len(at)), np.ones(len(at)), low.copy()
+    left = np.flatnonzero(t < n)
+    while len(left):
+        opened = t[left]
+        step = (a[left] + g[left] * opened) * ratio(n[left], opened + 1)
+        t[left] = opened + 1
+        weight[left] *= step
+        total[left] += weight[left]
+        with np.errstate(over="ignore"):
+            chance = (mix(key[left] + mix((opened + 1).view(np.uint64))) >> np.uint64(11)) * 2.0**-53
+        won = left[chance * total[left] < weight[left]]
+        taken[won] = t[won]
+        left = left[(t[left] < n[left]) & ((step > 1) | (weight[left] > 1e-9 * total[left]))]
+    out[at] = taken
+    return out
 
 
 def sample_tables(c: np.ndarray, alpha_of, d: float, seed: int, rounds: int = ROUNDS, burn: int = BURN) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and last number of tables of each dish; alpha_of(tables) gives the weights of new tables. A lone customer has a
-    table of its own."""
-    many = np.flatnonzero(c >= 2)
-    tables = np.minimum(c, 1).astype(np.int64)
-    mean = tables.astype(float)
-    seating = Seating(c[many].astype(np.int64), alpha_of(tables)[many], d, seed)
-    total = np.zeros(len(many))
+    """Mean and last number of tables of each dish; alpha_of(tables) gives the weights of new tables for a round."""
+    tables, total = np.minimum(c, 1).astype(np.int64), np.zeros(len(c))
     for k in range(rounds):
-        tables[many] = seating.t
-        seating.round(alpha_of(tables)[many])
+        key = mix(np.arange(len(c), dtype=np.uint64) + np.uint64(seed * 1_000_003 + k << 32))
+        tables = draw_tables(c, alpha_of(tables), np.zeros(len(c)), d, key)
         if k >= burn:
-            total += seating.t
-    tables[many] = seating.t
-    mean[many] = total / max(1, rounds - burn)
-    return mean, tables
+            total += tables
+    return total / max(1, rounds - burn), tables
 
 
 BLOCK = "block long, data binary, n_pairs long"
@@ -175,10 +199,24 @@ def pair_keys(sizes: np.ndarray, codes: np.ndarray, v: int) -> np.ndarray:
     return before * (v + 1) + codes
 
 
+@dataclass(frozen=True)
+class Hot:
+    """Very common contexts: sorted hashes, and the parts into which each is dealt."""
+
+    words: np.ndarray
+    parts: np.ndarray
+
+    def parts_of(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.ones(len(words), np.uint64)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, self.parts[at], np.uint64(1))
+
+
 class Block:
     """A block's distinct pairs in a fixed order, dealt to buckets."""
 
-    def __init__(self, data: bytes, hot: np.ndarray, buckets: int):
+    def __init__(self, data: bytes, hot: Hot, buckets: int):
         self.ids, self.valid, self.held, self.sizes, self.codes, self.vocabulary = unpacked(data)
         v = len(self.vocabulary)
         self.keys, at = np.unique(pair_keys(self.sizes, self.codes.astype(np.int64), v), return_inverse=True)
@@ -190,14 +228,14 @@ class Block:
         names = np.append(self.vocabulary, np.uint64(START))
         hu, hw = names[self.u], self.vocabulary[self.w]
         with np.errstate(over="ignore"):
-            spread = np.where(np.isin(hu, hot), mix(hu + mix(hw)), mix(hu))
+            spread = mix(hu + mix(hw) % hot.parts_of(hu))
         self.bucket = (spread % np.uint64(buckets)).astype(np.int64)
         self.names = names
         self.word_bucket = (mix(self.vocabulary ^ np.uint64(0xABCDEF)) % np.uint64(buckets)).astype(np.int64)
 
 
-def common_contexts(blocks: DataFrame, buckets: int) -> np.ndarray:
-    """Hashes of the words that are more than a 4 * buckets-th of the training tokens: at most 4 * buckets."""
+def common_contexts(blocks: DataFrame, buckets: int) -> Hot:
+    """The words that are more than a 4 * buckets-th of the training tokens, at most 4 * buckets, each in parts of about that."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,8 +249,10 @@ def common_contexts(blocks: DataFrame, buckets: int) -> np.ndarray:
 
     counts = blocks.select("data").mapInArrow(work, "word long, n long, all boolean").groupBy("word", "all").agg(F.sum("n").alias("n"))
     total = (counts.where("all").first() or {"n": 0})["n"]
-    rows = counts.where(~F.col("all") & (F.col("n") > total / (4 * buckets))).select("word").toPandas()
-    return np.sort(rows["word"].to_numpy(np.int64).view(np.uint64))
+    rows = counts.where(~F.col("all") & (F.col("n") > total / (4 * buckets))).toPandas()
+    words, n = rows["word"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
+    order = np.argsort(words)
+    return Hot(words[order], (1 + 4 * buckets * n[order] // max(1, total)).astype(np.uint64))
 
 
 MESSAGE = "to long, kind string, sender long, data binary, a long, b long, c long"
@@ -237,10 +277,11 @@ def _by_bucket(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarr
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs(doc_id, text).
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity) for every row of docs(doc_id, text).
 
-    A null or empty text is its end alone. Repeated rows are scored, and counted, each. A null doc_id is not held out. An empty
-    table gives an empty result; without training documents every token is unknown and has probability 1.
+    A null or empty text is its end alone. Repeated rows are scored, and counted, each. A null doc_id is not held out. A very
+    long text is scored whole, within one block. Other columns are not looked at. An empty table gives an empty result; without
+    training documents every token is unknown and has probability 1. perplexity is that of the text: 10 ^ (-score / n_tokens).
     """
     spark = docs.sparkSession
     blocks = block_table(docs)
@@ -274,7 +315,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
         del keys
         c = np.bincount(at, counts, len(pairs)).astype(np.int64)
         u, w = pairs // len(ws), pairs % len(ws)
-        rows = [(to, "state", -1, packed(us, ws, np.bincount(u, minlength=len(us)).astype(np.int32), w.astype(np.int32), c.astype(np.int32)), int((c == 1).sum()), int((c == 2).sum()), int((c > 0).sum()))]
+        rows = [(to, "state", -1, packed(us, ws, np.bincount(u, minlength=len(us)).astype(np.int32), w.astype(np.int32), c.astype(np.int32)), int((c == 1).sum()), int((c == 2).sum()), 0)]
         for sender, places in zip(part["sender"], np.split(at.astype(np.int32), np.cumsum(sizes)[:-1]), strict=True):
             rows.append((to, "places", int(sender), packed(np.diff(places, prepend=np.int32(0))), 0, 0, 0))  # ascending, as both sides sort by hash
         del pairs, at, counts, c, u, w
@@ -283,94 +324,160 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
     merged = stash(blocks.select("block", "data").mapInArrow(send, MESSAGE).groupBy("to").applyInPandas(merge, MESSAGE), "lm-pairs")
     release(spark)
-    ones, twos, tables = (int(x or 0) for x in merged.agg(F.sum("a"), F.sum("b"), F.sum("c")).first())
+    state = merged.where("kind = 'state'")
+    ones, twos = (int(x or 0) for x in state.agg(F.sum("a"), F.sum("b")).first())
     d = min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones else 0.75
 
     def word_bucket(h: np.ndarray) -> np.ndarray:
         return (mix(h ^ np.uint64(0xABCDEF)) % np.uint64(nb)).astype(np.int64)
 
-    # The parent's customers under the first seating, a table a pair: word buckets count words and contexts.
+    def customers(to: int, us, ws, u, w, t, c) -> Iterator[tuple]:
+        """What a context bucket tells the word buckets: tables and counts by word, and those of its common contexts."""
+        tables, counts = np.bincount(w, t, len(ws)).astype(np.int64), np.bincount(w, c, len(ws)).astype(np.int64)
+        for k, at in _by_bucket(word_bucket(ws), nb):
+            yield (k, "words", to, packed(ws[at], tables[at], counts[at]), None, None, None)
+        common = np.flatnonzero(np.isin(us, hot.words))
+        if len(common):
+            tables, counts = np.bincount(u, t, len(us)).astype(np.int64)[common], np.bincount(u, c, len(us)).astype(np.int64)[common]
+            for k, at in _by_bucket(word_bucket(us[common]), nb):
+                yield (k, "common", to, packed(us[common][at], tables[at], counts[at]), None, None, None)
+
+    # The first seating: a table a pair.
     def first_customers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for to, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                us, ws, _, w, c = unpacked(data)
-                t, n = np.bincount(w, c > 0, len(ws)).astype(np.int64), np.bincount(w, c, len(ws)).astype(np.int64)
-                for k, at in _by_bucket(word_bucket(ws), nb):
-                    yield _messages([(k, "words", to, packed(ws[at], t[at], n[at]), None, None, None)])
+                us, ws, followers, w, c = unpacked(data)
+                yield _messages(list(customers(to, us, ws, np.repeat(np.arange(len(us)), followers), w, np.minimum(c, 1), c)))
 
-    def gather(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
-        part = part[part["kind"] == "words"].sort_values("sender")
+    def gather(part: pd.DataFrame, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+        part = part[part["kind"] == kind].sort_values("sender")
         got = [unpacked(x) for x in part["data"]]
-        none = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        words = np.unique(np.concatenate(none[0] + [g[0] for g in got]))
+        words = np.unique(np.concatenate([np.zeros(0, np.uint64), *(g[0] for g in got)]))
         at = [np.searchsorted(words, g[0]) for g in got]
-        flat = np.concatenate(none[1] + at)
-        t = np.bincount(flat, np.concatenate(none[1] + [g[1] for g in got]), len(words)).astype(np.int64)
-        n = np.bincount(flat, np.concatenate(none[1] + [g[2] for g in got]), len(words)).astype(np.int64)
+        flat = np.concatenate([np.zeros(0, np.int64), *at])
+        t, n = (np.bincount(flat, np.concatenate([np.zeros(0, np.int64), *(g[i] for g in got)]), len(words)).astype(np.int64) for i in (1, 2))
         return words, t, n, list(zip(part["sender"], at, strict=True))
 
-    def root_tables(k: np.ndarray, v: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-        """Mean and last tables of the parent's dishes; the total over all buckets is taken from this one's share."""
-        known = max(1, int((k > 0).sum()))
-        weights = lambda t: np.full(len(k), (ROOT_STRENGTH + ROOT_DISCOUNT * t.sum() / known * v) / (v + 1))
-        return sample_tables(k, weights, ROOT_DISCOUNT, seed)
-
     def count_words(part: pd.DataFrame) -> pd.DataFrame:
-        words, t, n, _ = gather(part)
+        _, _, n, _ = gather(part, "words")
         return pd.DataFrame({"tokens": [int(n.sum())], "words": [int((n > 0).sum())]})
 
-    asked = merged.where("kind = 'state'").select("to", "data").mapInArrow(first_customers, MESSAGE)
+    asked = stash(state.select("to", "data").mapInArrow(first_customers, MESSAGE), "lm-customers")
     totals = asked.groupBy("to").applyInPandas(count_words, "tokens long, words long").agg(F.sum("tokens"), F.sum("words")).first()
     n_train, v = int(totals[0] or 0), int(totals[1] or 0)
 
-    # The parent answers with its probabilities.
-    def parent(part: pd.DataFrame) -> pd.DataFrame:
-        to = int(part["to"].iloc[0])
-        words, k, _, senders = gather(part)
-        mean, _ = root_tables(k, v, 1_000_003 * to + 1)
-        all_tables = mean.sum() / max(1, (k > 0).sum()) * v
-        p = np.maximum(k - ROOT_DISCOUNT * mean, 0) / (ROOT_STRENGTH + tables) + (ROOT_STRENGTH + ROOT_DISCOUNT * all_tables) / (ROOT_STRENGTH + tables) / (v + 1)
-        return _frame([(int(s), "parent", to, packed(p[at].astype(np.float32)), 0, 0, 0) for s, at in senders])
-
-    # Gibbs rounds in the context buckets; the blocks' pairs and the parent's new customers go out.
-    def gibbs(part: pd.DataFrame) -> pd.DataFrame:
-        to = int(part["to"].iloc[0])
-        us, ws, followers, w, c = unpacked(part[part["kind"] == "state"]["data"].iloc[0])
-        c, u = c.astype(np.int64), np.repeat(np.arange(len(us)), followers)
-        p = np.zeros(len(ws))
-        bucket = word_bucket(ws)
-        for sender, data in zip(part["sender"], part["data"].where(part["kind"] == "parent"), strict=True):
-            if isinstance(data, bytes):
-                p[bucket == sender] = unpacked(data)[0]
-        share = np.where(np.isin(us, hot), nb, 1.0)  # of a common context this bucket has about an nb-th
-        weights = lambda t: ((STRENGTH + d * share * np.bincount(u, t, len(us)))[u]) * p[w]
-        mean, last = sample_tables(c, weights, d, 1_000_003 * to + 2)
-        total_t, total_c = np.bincount(u, mean, len(us)), np.bincount(u, c, len(us))
-        rows = []
-        for sender, data in zip(part["sender"], part["data"].where(part["kind"] == "places"), strict=True):
-            if isinstance(data, bytes):
-                at = np.cumsum(unpacked(data)[0], dtype=np.int64)
-                own = np.unique(u[at])
-                many = c[at] >= 2
-                rows.append((int(sender), "seats", to, packed(c[at].astype(np.int32), mean[at][many].astype(np.float32), total_t[own].astype(np.float32), total_c[own].astype(np.int64)), 0, 0, 0))
-        t = np.bincount(w, last, len(ws)).astype(np.int64)
-        for k, at in _by_bucket(bucket, nb):
-            rows.append((k, "words", to, packed(ws[at], t[at], np.bincount(w, c, len(ws)).astype(np.int64)[at]), int(t[at].sum()), 0, 0))
-        found = np.flatnonzero(np.isin(us, hot))
-        for k in found:
-            rows.append((int(us[k].view(np.int64)), "hot", to, packed(np.array([total_t[k], total_c[k]])), 0, 0, 0))
+    def parent_step(turn: int, root_tables: int):
+        """The parent's Gibbs step: each word's customers reseated against all other tables of the round before."""
+
+        def step(part: pd.DataFrame) -> pd.DataFrame:
+            to = int(part["to"].iloc[0])
+            words, k, _, senders = gather(part, "words")
+            before = np.minimum(k, 1)
+            for data in part["data"][part["kind"] == "own"]:
+                before = unpacked(data)[0]
+            first = np.maximum(ROOT_STRENGTH + ROOT_DISCOUNT * (root_tables - before), 1e-9) / (v + 1)
+            with np.errstate(over="ignore"):
+                key = mix(words + np.uint64(2 * turn + 1) * np.uint64(0x9E3779B97F4A7C15))
+            t = draw_tables(k, first, np.full(len(k), ROOT_DISCOUNT / (v + 1)), ROOT_DISCOUNT, key)
+            rows = [(-1, "root", to, None, int(k.sum()), int(t.sum()), 0), (to, "own", to, packed(t), 0, 0, 0)]
+            rows += [(int(s), "parent", to, packed(k[at].astype(np.int32 if k.max(initial=0) < 2**31 else np.int64), t[at].astype(np.int32)), 0, 0, 0) for s, at in senders]
+            common, tables, counts, senders = gather(part, "common")
+            rows += [(int(s), "totals", to, packed(common[at], tables[at], counts[at]), 0, 0, 0) for s, at in senders]
+            return _frame(rows)
+
+        return step
+
+    class Restaurants:
+        """A context bucket's restaurants under one joint sample: tables of the dishes (of two customers or more), the parent's
+        probabilities, and tables and customers of each context over all buckets."""
+
+        def __init__(self, part: pd.DataFrame, turn: int, customers: int, root_tables: int):
+            kinds = part["kind"]
+            self.us, self.ws, followers, self.w, c = unpacked(part["data"][kinds == "state"].iloc[0])
+            self.c, self.u = c.astype(np.int64), np.repeat(np.arange(len(self.us)), followers)
+            self.bucket = word_bucket(self.ws)
+            self.move(part, turn, customers, root_tables)
+
+        def move(self, part: pd.DataFrame, turn: int, customers: int, root_tables: int) -> None:
+            kinds = part["kind"]
+            self.t = np.minimum(self.c, 1)
+            for data in part["data"][kinds == f"tables{turn}"]:
+                self.t[self.c >= 2] = unpacked(data)[0]
+            self.p, base = np.zeros(len(self.ws)), (ROOT_STRENGTH + ROOT_DISCOUNT * root_tables) / (ROOT_STRENGTH + customers) / (v + 1)
+            asked = kinds == f"parent{turn}"
+            for sender, data in zip(part["sender"][asked], part["data"][asked], strict=True):
+                k, t = unpacked(data)
+                self.p[self.bucket == sender] = (k - ROOT_DISCOUNT * t) / (ROOT_STRENGTH + customers) + base
+            self.tables, self.customers = np.bincount(self.u, self.t, len(self.us)), np.bincount(self.u, self.c, len(self.us))
+            for data in part["data"][kinds == f"totals{turn}"]:
+                words, t, n = unpacked(data)
+                at = np.searchsorted(self.us, words)
+                self.tables[at], self.customers[at] = t, n
+
+        def probabilities(self) -> np.ndarray:
+            room = STRENGTH + self.customers
+            return np.maximum(self.c - d * self.t, 0) / room[self.u] + ((STRENGTH + d * self.tables) / room)[self.u] * self.p[self.w]
+
+    def context_step(turn: int, customers_: int, root_tables: int):
+        """The contexts' Gibbs step: each dish's customers reseated against all other tables of the context."""
+
+        def step(part: pd.DataFrame) -> pd.DataFrame:
+            to = int(part["to"].iloc[0])
+            own = Restaurants(part, turn, customers_, root_tables)
+            many = np.flatnonzero(own.c >= 2)
+            u, p = own.u[many], own.p[own.w[many]]
+            with np.errstate(over="ignore"):
+                key = mix(own.us[u] * np.uint64(3) + mix(own.ws[own.w[many]]) + np.uint64(2 * turn) * np.uint64(0x9E3779B97F4A7C15))
+            t = draw_tables(own.c[many], (STRENGTH + d * (own.tables[u] - own.t[many])) * p, d * p, d, key)
+            own.t[many] = t
+            rows = [(to, f"tables{turn + 1}", to, packed(t.astype(np.int32)), 0, 0, 0), *customers(to, own.us, own.ws, own.u, own.w, own.t, own.c)]
+            del own
+            trim()
+            return _frame(rows)
+
+        return step
+
+    # Parent and contexts take turns; the samples after BURN rounds are kept as tables of messages.
+    samples, words, own, tables, root_tables = [], asked, None, None, v
+    for turn in range(ROUNDS):
+        told = words.where("kind in ('words', 'common')")
+        answers = (told if own is None else told.unionByName(own)).groupBy("to").applyInPandas(parent_step(turn, root_tables), MESSAGE)
+        answers = stash(answers.withColumn("kind", F.when(F.col("kind").isin("parent", "totals"), F.concat("kind", F.lit(str(turn)))).otherwise(F.col("kind"))), "lm-parent")
+        totals = answers.where("kind = 'root'").agg(F.sum("a"), F.sum("b")).first()
+        seated, root_tables = int(totals[0] or 0), int(totals[1] or 0)
+        own, replies = answers.where("kind = 'own'"), answers.where(F.col("kind").isin(f"parent{turn}", f"totals{turn}"))
+        dynamic = replies if tables is None else replies.unionByName(tables)
+        if turn >= BURN:
+            samples.append((turn, seated, root_tables, dynamic))
+        if turn + 1 < ROUNDS:
+            words = stash(state.unionByName(dynamic).groupBy("to").applyInPandas(context_step(turn, seated, root_tables), MESSAGE), "lm-seats")
+            tables = words.where(F.col("kind") == f"tables{turn + 1}")
+            release(spark)
+
+    # The mean probability of each pair goes to the blocks that have it.
+    def reply(part: pd.DataFrame) -> pd.DataFrame:
+        to, rooms, mean = int(part["to"].iloc[0]), None, 0.0
+        for turn, seated, root, _ in scalars:
+            if rooms is None:
+                rooms = Restaurants(part, turn, seated, root)
+            else:
+                rooms.move(part, turn, seated, root)
+            mean = mean + rooms.probabilities() / len(scalars)
+        del rooms
+        asked = part["kind"] == "places"
+        rows = [(int(sender), "pairs", to, packed(mean[np.cumsum(unpacked(data)[0], dtype=np.int64)].astype(np.float32)), 0, 0, 0) for sender, data in zip(part["sender"][asked], part["data"][asked], strict=True)]
+        trim()
         return _frame(rows)
 
-    answers = asked.groupBy("to").applyInPandas(parent, MESSAGE)
-    seated = stash(merged.unionByName(answers).groupBy("to").applyInPandas(gibbs, MESSAGE), "lm-seats")
+    scalars = [(*s[:3], None) for s in samples]
+    everything = merged
+    for _, _, _, dynamic in samples:
+        everything = everything.unionByName(dynamic)
+    replies = stash(everything.groupBy("to").applyInPandas(reply, MESSAGE), "lm-replies")
     discard(merged)
     release(spark)
-    customers = int(seated.where("kind = 'words'").agg(F.sum("a")).first()[0] or 0)
-    shared: dict[int, np.ndarray] = {}
-    for r in seated.where("kind = 'hot'").select("to", "data").collect():  # at most 4 * nb contexts from nb buckets each
-        shared[r["to"]] = shared.get(r["to"], 0) + unpacked(bytes(r["data"]))[0]
 
-    # Blocks ask the parent for their words, under the new tables.
+    # Blocks ask the word buckets for the counts of their words.
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -380,59 +487,35 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
     def answer(part: pd.DataFrame) -> pd.DataFrame:
         to = int(part["to"].iloc[0])
-        words, k, n, _ = gather(part)
-        mean, _ = root_tables(k, v, 1_000_003 * to + 3)
-        rows = [(-1, "root", to, None, int(round(1000 * mean.sum())), 0, 0)]
-        for sender, data in zip(part["sender"], part["data"].where(part["kind"] == "ask"), strict=True):
-            if isinstance(data, bytes):
-                own = unpacked(data)[0]
-                at = np.minimum(np.searchsorted(words, own), max(0, len(words) - 1))
-                there = words[at] == own if len(words) else np.zeros(len(own), bool)
-                pick = lambda x: np.where(there, x[at], 0) if len(words) else np.zeros(len(own))  # noqa: B023, E731
-                rows.append((int(sender), "known", to, packed(pick(k).astype(np.int64), pick(n).astype(np.int64), pick(mean).astype(np.float32)), 0, 0, 0))
+        words, _, n, _ = gather(part, "words")
+        rows, asked = [], part["kind"] == "ask"
+        for sender, data in zip(part["sender"][asked], part["data"][asked], strict=True):
+            at = np.searchsorted(words, unpacked(data)[0])  # every word of a block is in some pair
+            rows.append((int(sender), "known", to, packed(n[at]), 0, 0, 0))
         return _frame(rows)
 
     requests = blocks.select("block", "data").mapInArrow(ask, MESSAGE)
-    known = stash(seated.where("kind = 'words'").unionByName(requests).groupBy("to").applyInPandas(answer, MESSAGE), "lm-known")
-    release(spark)
-    root_total = (known.where("kind = 'root'").agg(F.sum("a")).first()[0] or 0) / 1000
+    known = asked.where("kind = 'words'").unionByName(requests).groupBy("to").applyInPandas(answer, MESSAGE)
 
     def finish(part: pd.DataFrame) -> pd.DataFrame:
         own = Block(part[part["kind"] == "block"]["data"].iloc[0], hot, nb)
-        k, n, t = (np.zeros(len(own.vocabulary)) for _ in range(3))
-        c, mean, lam = np.zeros(len(own.keys)), np.zeros(len(own.keys)), np.ones(len(own.keys))
-        room = np.zeros(len(own.keys))
-        wanted = {b: at for b, at in _by_bucket(own.bucket, nb)}
-        words = {b: at for b, at in _by_bucket(own.word_bucket, nb)}
+        n, p = np.zeros(len(own.vocabulary)), np.ones(len(own.keys))
+        wanted, words = dict(_by_bucket(own.bucket, nb)), dict(_by_bucket(own.word_bucket, nb))
         for kind, sender, data in zip(part["kind"], part["sender"], part["data"], strict=True):
             if kind == "known":
-                at = words[sender]
-                k[at], n[at], t[at] = unpacked(data)
-            elif kind == "seats":
-                at = wanted[sender]
-                cc, many, total_t, total_c = unpacked(data)
-                contexts, runs = np.unique(own.u[at], return_counts=True)
-                total_t, total_c, names = total_t.astype(float), total_c.astype(float), own.names[contexts].view(np.int64)
-                for h, total in shared.items():
-                    j = np.flatnonzero(names == h)
-                    total_t[j], total_c[j] = total
-                c[at] = cc
-                m = np.minimum(cc, 1).astype(float)
-                m[cc >= 2] = many
-                mean[at] = m
-                room[at] = STRENGTH + np.repeat(total_c, runs)
-                lam[at] = (STRENGTH + d * np.repeat(total_t, runs)) / room[at]
-        root = np.maximum(k - ROOT_DISCOUNT * t, 0) / (ROOT_STRENGTH + customers) + (ROOT_STRENGTH + ROOT_DISCOUNT * root_total) / (ROOT_STRENGTH + customers) / (v + 1)
-        p = np.maximum(c - d * mean, 0) / np.where(room > 0, room, STRENGTH) + lam * root[own.w]
+                n[words[sender]] = unpacked(data)[0]
+            elif kind == "pairs":
+                p[wanted[sender]] = unpacked(data)[0]
         base = np.log10((n + 1) / (n_train + v + 1))
         sums = lambda x: np.bincount(own.doc, x, len(own.sizes))
         score = sums(np.log10(p)[own.at])
         out = pd.DataFrame({"doc_id": pd.array(own.ids, "Int64"), "held_out": own.held, "n_tokens": own.sizes, "n_known": sums(n[own.codes] > 0).astype(np.int64), "train_tokens": n_train, "base_score": sums(base[own.codes]), "score": score})
+        out["perplexity"] = 10.0 ** np.minimum(300, -score / own.sizes)
         out.loc[~own.valid, "doc_id"] = pd.NA
-        del own, c, mean, lam, room, p
+        del own, p
         trim()
         return out
 
     texts = blocks.select(F.col("block").alias("to"), F.lit("block").alias("kind"), F.lit(-1).cast("long").alias("sender"), "data", *(F.lit(0).cast("long").alias(x) for x in "abc"))
-    parts = texts.unionByName(seated.where("kind = 'seats'")).unionByName(known.where("kind = 'known'"))
-    return parts.groupBy("to").applyInPandas(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    parts = texts.unionByName(replies).unionByName(known)
+    return parts.groupBy("to").applyInPandas(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")

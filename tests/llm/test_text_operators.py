@@ -288,13 +288,36 @@ def test_language_model_counts_and_probabilities(spark, monkeypatch):
     assert hpylm.score_texts(fx.empty(spark)).count() == 0
 
 
-def test_seatings_keep_their_customers():
-    rng = np.random.default_rng(0)
-    c = rng.integers(2, 60, 300)
-    seating = hpylm.Seating(c, np.full(300, 2.0), 0.6, 1)
-    for _ in range(30):
-        seating.round(np.full(300, 2.0))
-        assert (np.bincount(seating.dish, seating.size, 300) == c).all() and (np.bincount(seating.dish, minlength=300) == seating.t).all() and seating.size.min() >= 1
+def exact_tables(c, first, growth, d):
+    """The mean number of tables from the full distribution over t, by the recursion of the Stirling numbers."""
+    log = np.full(c + 2, -np.inf)
+    log[1] = 0.0
+    for n in range(1, c):
+        t = np.arange(1, c + 1)
+        log[1:-1] = np.logaddexp(log[0:-2], log[1:-1] + np.log(np.maximum(n - t * d, 1e-300)))
+        log[n + 2 :] = -np.inf
+    t = np.arange(1, c + 1)
+    weight = log[1:-1] + np.concatenate([[0.0], np.cumsum(np.log(first + growth * t[:-1]))])
+    p = np.exp(weight - weight.max())
+    return float((p * t).sum() / p.sum())
+
+
+@pytest.mark.parametrize(("c", "first", "growth", "d"), [(2, 0.3, 0, 0.5), (5, 2.0, 0.1, 0.7), (40, 0.2, 0, 0.6), (100, 0.2, 0, 0.6), (1000, 1.0, 0, 0.6), (1000, 30.0, 0.4, 0.8), (3000, 0.5, 0.3, 0.5), (3000, 120.0, 0, 0.7), (6000, 3.0, 0, 0.9)])
+def test_tables_are_drawn_from_their_exact_distribution(c, first, growth, d):
+    n = 4000
+    key = np.random.default_rng(c).integers(0, 2**64, n, dtype=np.uint64)
+    t = hpylm.draw_tables(np.full(n, c), np.full(n, first), np.full(n, float(growth)), d, key)
+    assert t.min() >= 1 and t.max() <= c and t.mean() == pytest.approx(exact_tables(c, first, growth, d), rel=0.05)
+
+
+def test_scores_depend_on_neither_blocks_nor_buckets_nor_layout(spark, monkeypatch):
+    found = []
+    for tokens, pairs, partitions in ((3000, 900, 3), (10**7, 10**7, 2), (500, 300, 5)):
+        monkeypatch.setattr(hpylm, "BLOCK_TOKENS", tokens)
+        monkeypatch.setattr(hpylm, "BUCKET_PAIRS", pairs)
+        got = hpylm.score_texts(fx.table(spark, partitions=partitions)).toPandas()
+        found.append(sorted((r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got.itertuples()))
+    assert found[0] == found[1] == found[2]
 
 
 def test_gibbs_samples_the_right_number_of_tables():
