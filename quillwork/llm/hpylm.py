@@ -27,14 +27,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillwork.llm.shared import WordHashes, discard, mix, release, slices, stash, trim, words_of
+from quillwork.llm.shared import Codes, discard, hash_words, mix, release, slices, stash, trim, words_of
 
 #: Concentrations of the context restaurants and of the parent; the parent's discount. The context discount follows the counts.
 STRENGTH, ROOT_STRENGTH, ROOT_DISCOUNT = 1.0, 10.0, 0.5
-ROUNDS, BURN = 5, 2
+ROUNDS, BURN = 4, 1
 #: Customers and tables up to which ratios of Stirling numbers are tabled; beyond, their asymptotic forms are used.
 MOST_CUSTOMERS, MOST_TABLES = 2048, 48
 BLOCK_TOKENS, BUCKET_PAIRS = 2_500_000, 2_500_000
+#: Places of the bitmap by which a block's distinct pairs are estimated.
+COUNTED = 1 << 22
 #: Hashes of a text's end and of what stands before its first word; the latter sorts last.
 END, START = 0xE5D, 0xFFFFFFFFFFFFFFFF
 FOLDS, HELD = 7, 2
@@ -157,16 +159,21 @@ def block_table(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, k, hashes = TaskContext.get().partitionId(), 0, WordHashes()
+        part, k, words = TaskContext.get().partitionId(), 0, Codes({None: 0})
         held, parts, tokens = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal k, held, parts, tokens
-            ids, flags, sizes, h = (np.concatenate([p[i] for p in parts]) for i in range(4))
-            vocabulary, codes = np.unique(h, return_inverse=True)
+            nonlocal k, held, parts, tokens, words
+            ids, flags, sizes, codes = (np.concatenate([p[i] for p in parts]) for i in range(4))
+            names = np.concatenate([np.array([END], np.uint64), hash_words([w for w in words if w is not None])])
+            vocabulary, rank = np.unique(names, return_inverse=True)
+            codes = rank[codes]
             data = packed(ids, np.concatenate(held), flags, sizes, codes.astype(np.int32), vocabulary)
-            out = pa.RecordBatch.from_arrays([pa.array([part << 32 | k]), pa.array([data], pa.binary()), pa.array([len(np.unique(pair_keys(sizes, codes, len(vocabulary))))])], names=["block", "data", "n_pairs"])
-            k, held, parts, tokens = k + 1, [], [], 0
+            seen = np.zeros(COUNTED, bool)
+            seen[(mix(pair_keys(sizes, codes, len(vocabulary)).view(np.uint64)) & np.uint64(COUNTED - 1)).astype(np.int64)] = True
+            pairs = -COUNTED * np.log(max(1 / COUNTED, 1 - seen.mean()))  # linear counting: the number only sets how many buckets there are
+            out = pa.RecordBatch.from_arrays([pa.array([part << 32 | k]), pa.array([data], pa.binary()), pa.array([int(pairs)])], names=["block", "data", "n_pairs"])
+            k, held, parts, tokens, words = k + 1, [], [], 0, Codes({None: 0})
             return out
 
         for batch in batches:
@@ -174,14 +181,14 @@ def block_table(docs: DataFrame) -> DataFrame:
             for a, b in slices(texts):
                 lists = [words_of(t) for t in texts[a:b]]
                 sizes = np.fromiter((len(x) + 1 for x in lists), np.int64, b - a)
-                h = np.full(int(sizes.sum()), END, np.uint64)
-                inner = np.ones(len(h), bool)
+                codes = np.zeros(int(sizes.sum()), np.int64)
+                inner = np.ones(len(codes), bool)
                 inner[np.cumsum(sizes) - 1] = False
-                h[inner] = hashes.of([w for x in lists for w in x])
+                codes[inner] = words.of([w for x in lists for w in x])
                 ids = batch.column(0).slice(a, b - a)
                 held.append(np.asarray(ids.is_valid()))
-                parts.append((np.asarray(ids.fill_null(0)).astype(np.int64), np.asarray(batch.column(2).slice(a, b - a)), sizes, h))
-                tokens += len(h)
+                parts.append((np.asarray(ids.fill_null(0)).astype(np.int64), np.asarray(batch.column(2).slice(a, b - a)), sizes, codes.astype(np.int32)))
+                tokens += len(codes)
                 if tokens >= BLOCK_TOKENS:
                     yield flush()
         if parts:
@@ -331,11 +338,11 @@ def score_texts(docs: DataFrame) -> DataFrame:
     def word_bucket(h: np.ndarray) -> np.ndarray:
         return (mix(h ^ np.uint64(0xABCDEF)) % np.uint64(nb)).astype(np.int64)
 
-    def customers(to: int, us, ws, u, w, t, c) -> Iterator[tuple]:
-        """What a context bucket tells the word buckets: tables and counts by word, and those of its common contexts."""
+    def customers(to: int, us, ws, u, w, t, c, counted: bool = False) -> Iterator[tuple]:
+        """What a context bucket tells the word buckets: tables by word (and counts, once), and both of its common contexts."""
         tables, counts = np.bincount(w, t, len(ws)).astype(np.int64), np.bincount(w, c, len(ws)).astype(np.int64)
         for k, at in _by_bucket(word_bucket(ws), nb):
-            yield (k, "words", to, packed(ws[at], tables[at], counts[at]), None, None, None)
+            yield (k, "words", to, packed(ws[at], tables[at], counts[at] if counted else counts[:0]), None, None, None)
         common = np.flatnonzero(np.isin(us, hot.words))
         if len(common):
             tables, counts = np.bincount(u, t, len(us)).astype(np.int64)[common], np.bincount(u, c, len(us)).astype(np.int64)[common]
@@ -347,7 +354,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for to, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 us, ws, followers, w, c = unpacked(data)
-                yield _messages(list(customers(to, us, ws, np.repeat(np.arange(len(us)), followers), w, np.minimum(c, 1), c)))
+                yield _messages(list(customers(to, us, ws, np.repeat(np.arange(len(us)), followers), w, np.minimum(c, 1), c, True)))
 
     def gather(part: pd.DataFrame, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
         part = part[part["kind"] == kind].sort_values("sender")
@@ -355,7 +362,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
         words = np.unique(np.concatenate([np.zeros(0, np.uint64), *(g[0] for g in got)]))
         at = [np.searchsorted(words, g[0]) for g in got]
         flat = np.concatenate([np.zeros(0, np.int64), *at])
-        t, n = (np.bincount(flat, np.concatenate([np.zeros(0, np.int64), *(g[i] for g in got)]), len(words)).astype(np.int64) for i in (1, 2))
+        sums = lambda i: np.bincount(flat, np.concatenate([np.zeros(0, np.int64), *(g[i] for g in got)]), len(words)).astype(np.int64)
+        t, n = sums(1), sums(2) if all(len(g[2]) == len(g[0]) for g in got) else np.zeros(len(words), np.int64)
         return words, t, n, list(zip(part["sender"], at, strict=True))
 
     def count_words(part: pd.DataFrame) -> pd.DataFrame:
@@ -437,12 +445,15 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
         return step
 
-    # Parent and contexts take turns; the samples after BURN rounds are kept as tables of messages.
+    # Parent and contexts take turns; of the samples after BURN rounds, tables and the parent's replies are kept.
     samples, words, own, tables, root_tables = [], asked, None, None, v
     for turn in range(ROUNDS):
         told = words.where("kind in ('words', 'common')")
         answers = (told if own is None else told.unionByName(own)).groupBy("to").applyInPandas(parent_step(turn, root_tables), MESSAGE)
         answers = stash(answers.withColumn("kind", F.when(F.col("kind").isin("parent", "totals"), F.concat("kind", F.lit(str(turn)))).otherwise(F.col("kind"))), "lm-parent")
+        if turn:
+            discard(words)
+        release(spark)
         totals = answers.where("kind = 'root'").agg(F.sum("a"), F.sum("b")).first()
         seated, root_tables = int(totals[0] or 0), int(totals[1] or 0)
         own, replies = answers.where("kind = 'own'"), answers.where(F.col("kind").isin(f"parent{turn}", f"totals{turn}"))
@@ -451,7 +462,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
             samples.append((turn, seated, root_tables, dynamic))
         if turn + 1 < ROUNDS:
             words = stash(state.unionByName(dynamic).groupBy("to").applyInPandas(context_step(turn, seated, root_tables), MESSAGE), "lm-seats")
-            tables = words.where(F.col("kind") == f"tables{turn + 1}")
+            tables = stash(words.where(F.col("kind") == f"tables{turn + 1}"), "lm-tables")
             release(spark)
 
     # The mean probability of each pair goes to the blocks that have it.
