@@ -34,7 +34,8 @@ SIGNATURE = {"HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES384": 96, "E
 
 WORDS = re.compile("pass|secret|token|api", re.A)
 TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])ey[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,\\-]*?)-----END \1-----")
+PEM_MARK = re.compile(r"-----(BEGIN|END) ((?:[A-Z0-9]++ ?+)*+)-----")
+PEM_BODY = re.compile(r"[A-Za-z0-9+/=\s:,\\-]*+")
 ESCAPED = re.compile(r"\\+[rnt]|\\(?=\s)")
 #: Runs of base64 (either alphabet) and of hex, with line ends (wrapped, continued or escaped) within them.
 LINE_END = r"(?:[ \t]*+(?:\\?\r?\n|\\+[rn])[ \t]*+)++"
@@ -177,12 +178,20 @@ def find_secrets(text: str | None) -> list[tuple[int, int, int]]:
 
 
 def find_pem(text: str) -> list[tuple[int, int, int]]:
-    out = []
-    if "-----BEGIN" in text:
-        for m in PEM.finditer(text):
-            body = re.sub(r"(?m)^[A-Za-z-]+:.*$", "", ESCAPED.sub("\n", m[2]))
-            if is_key(unbase64(re.sub(r"\s", "", body))) or "Proc-Type" in m[2] and len(unbase64(re.sub(r"\s", "", body)) or b"") >= 64:
-                out.append((m.start(), 4, m.end()))
+    """Blocks from a BEGIN mark to the next mark, if that is its END: every part of the text is read once."""
+    out, begin = [], None
+    if "-----BEGIN" not in text:
+        return out
+    for m in PEM_MARK.finditer(text):
+        if m[1] == "BEGIN":
+            begin = m if m[2].endswith("PRIVATE KEY") else None
+            continue
+        if begin is not None and begin[2] == m[2] and PEM_BODY.match(text, begin.end(), m.start()).end() == m.start():
+            inner = text[begin.end() : m.start()]
+            body = re.sub(r"(?m)^[A-Za-z-]+:.*$", "", ESCAPED.sub("\n", inner))
+            if is_key(unbase64(re.sub(r"\s", "", body))) or "Proc-Type" in inner and len(unbase64(re.sub(r"\s", "", body)) or b"") >= 64:
+                out.append((begin.start(), 4, m.end()))
+        begin = None
     return out
 
 
