@@ -215,8 +215,8 @@ def read_bundles(index: DataFrame, folder: str, keep_payload: bool = False) -> D
                             out[c] = pd.array(out[c], "Int64")
                         yield out
 
-    bundles = index.groupBy("bundle").count().select("bundle")
-    return bundles.mapInPandas(read, schema)
+    bundles = index.select("bundle").distinct()
+    return bundles.repartition(max(1, bundles.count()), "bundle").mapInPandas(read, schema)  # as many tasks as bundles, however small the index
 
 
 def fetch_records(index: DataFrame, folder: str) -> DataFrame:
