@@ -12,8 +12,10 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +37,30 @@ CLOSES = {
 }
 KEEPS_P = frozenset("button option optgroup select".split())
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
+OPENS = re.compile(r"<(?:!--|(/?)([a-zA-Z][^\s/>]*)|[!?/])")
+INSIDE = re.compile(r"""[^'"<>]*+""")
 NAMED = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 WORD = re.compile(r"[a-z]+")
 
 
+class Node:
+    """An open element: its parent, what it adds to the features of its ancestors, and its last two block-level tags."""
+
+    __slots__ = ("parent", "tag", "added", "hidden", "own", "above", "sums")
+
+    def __init__(self, parent: Node | None, tag: str, added: tuple[str, ...]):
+        self.parent, self.tag, self.added, self.sums = parent, tag, added, None
+        self.hidden = tag in HIDDEN or parent is not None and parent.hidden
+        self.own, self.above = (parent.own, parent.above) if parent is not None else ("", "")
+        if tag in BLOCKS:
+            self.own, self.above = tag, self.own
+
+
 @dataclass
 class Block:
-    """path: (tag, attributes) from the root down; links: characters inside links; raw: as between the tags."""
+    """node: the innermost open element; links: characters inside links; parts: as between the tags."""
 
-    path: tuple[tuple[str, str], ...]
+    node: Node
     parts: list[str] = field(default_factory=list)
     links: int = 0
 
@@ -52,86 +68,144 @@ class Block:
         return " ".join(entities.unescape("".join(self.parts)).split())
 
 
+def element_names(tag: str, attributes: str) -> tuple[str, ...]:
+    """Features of a block-level element: its tag, the words of its class, id and role, and whether it is hidden."""
+    if tag not in BLOCKS:
+        return ()
+    out = {f"in:{tag}"}
+    for m in NAMED.finditer(attributes):
+        out |= {f"name:{w}" for w in WORD.findall(m[1].lower()) if len(w) > 1}
+    if "hidden" in attributes.lower():
+        out.add("hidden")
+    return tuple(sorted(out))
+
+
+remembered_names = lru_cache(50_000)(element_names)
+
+
+def tag_end(page: str, at: int, last: dict[str, int]) -> tuple[int, int]:
+    """(end of the attributes, end of the tag) for a tag whose attributes start here. Quoted values may hold anything; without
+    a closing quote the tag ends at the next bracket, and an unclosed one where the next begins. last: where the page's last
+    quotes are. Each call reads on from `at` once, and what it has read is not read again."""
+    k = at
+    while True:
+        k = INSIDE.match(page, k).end()
+        mark = page[k : k + 1]
+        if mark in ("", "<"):
+            return k, k
+        if mark == ">":
+            return k, k + 1
+        if k >= last[mark]:
+            return (m.start(), m.end() if m[0] == ">" else m.start()) if (m := BRACKET.search(page, at)) else (len(page), len(page))
+        k = page.index(mark, k + 1) + 1
+
+
+BRACKET = re.compile("[<>]")
+
+
+class Stack:
+    """The open elements, with the places of each tag and the features that are open."""
+
+    def __init__(self):
+        self.nodes, self.places, self.names = [Node(None, "", ())], {}, set()
+        self.blocks: list[int] = []
+
+    def push(self, tag: str, attributes: str) -> None:
+        found = (remembered_names if len(attributes) < 1000 else element_names)(tag, attributes)
+        added = tuple(n for n in found if n not in self.names)
+        self.names.update(added)
+        self.places.setdefault(tag, []).append(len(self.nodes))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(Node(self.nodes[-1], tag, added))
+
+    def last(self, *tags: str) -> int:
+        """The place of the innermost of these; 0 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def cut(self, place: int) -> None:
+        """Close all from this place on."""
+        while len(self.nodes) > place:
+            node = self.nodes.pop()
+            self.names.difference_update(node.added)
+            self.places[node.tag].pop()
+            if node.tag in BLOCKS:
+                self.blocks.pop()
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """The blocks with text, in page order. Scripts, styles, comments and the head hold none. Any input gives some result:
-    unclosed and unopened tags are taken as browsers mostly take them."""
+    unclosed and unopened tags are taken as browsers mostly take them. One pass, however long or nested the page."""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
-    block: Block | None = None
-    at, end, anchors = 0, len(page), 0
+    stack, block = Stack(), None
+    last = {q: page.rfind(q) for q in "\"'"}
+    at, end = 0, len(page)
     while at < end:
-        m = TAG.search(page, at)
+        m = OPENS.search(page, at)
         stop = m.start() if m else end
         if stop > at:
             piece = page[at:stop]
             if block is None and not piece.isspace():
-                block = Block(tuple(stack))
+                block = Block(stack.nodes[-1])
             if block is not None:
                 block.parts.append(piece)
-                if anchors:
+                if stack.places.get("a"):
                     block.links += len(piece)
         if m is None:
             break
         at = m.end()
-        tag = (m[2] or m[5] or "").lower()
-        if not tag:
+        if not m[2]:
+            close = page.find("-->" if m[0] == "<!--" else ">", at)
+            if close >= 0:
+                at = close + (3 if m[0] == "<!--" else 1)
+            elif m[0] == "<!--":
+                at = end
+            else:
+                at = found if (found := page.find("<", at)) >= 0 else end
             continue
-        closing = bool(m[1] or m[4])
+        tag, start = m[2].lower(), at
+        stop, at = tag_end(page, at, last)
         if tag in BLOCKS:
             if block is not None:
                 out.append(block)
                 block = None
         elif tag == "br" and block is not None:
             block.parts.append(" ")
-        if closing:
-            names = [t for t, _ in stack]
-            if tag in names:
-                k = len(names) - 1 - names[::-1].index(tag)
-                anchors -= names[k:].count("a")
-                del stack[k:]
+        if m[1]:
+            if place := stack.last(tag):
+                stack.cut(place)
             continue
         if tag in RAW:
-            close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+            close = re.compile(rf"</{tag}\b", re.I).search(page, at)
             if tag == "textarea" and close:
-                out.append(Block((*stack, (tag, "")), [page[at : close.start()]]))
-            at = close.end() if close else end
+                stack.push(tag, "")
+                out.append(Block(stack.nodes[-1], [page[at : close.start()]]))
+                stack.cut(len(stack.nodes) - 1)
+            at = end if close is None else tag_end(page, close.end(), last)[1]
             continue
-        if tag in BLOCKS and tag not in KEEPS_P:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p":
-                    anchors -= sum(t == "a" for t, _ in stack[k:])
-                    del stack[k:]
-                    break
-                if stack[k][0] in BLOCKS:
-                    break
+        if tag in BLOCKS and tag not in KEEPS_P and (place := stack.last("p")) and place == stack.blocks[-1]:
+            stack.cut(place)
         if tag in CLOSES:
             shut, within = CLOSES[tag]
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in within:
-                    break
-                if stack[k][0] in shut:
-                    anchors -= sum(t == "a" for t, _ in stack[k:])
-                    del stack[k:]
-                    if tag != "tr":
-                        break
+            bound = stack.last(*within)
+            if tag == "tr":  # every cell and row above the table
+                inner = [p[bisect_right(p, bound)] for t in shut if (p := stack.places.get(t)) and p[-1] > bound]
+                if inner:
+                    stack.cut(min(inner))
+            elif (place := stack.last(*shut)) > bound:
+                stack.cut(place)
         if tag not in VOID:
-            attributes = (m[3] or m[6] or "").strip()
-            stack.append((tag, attributes))
-            anchors += tag == "a"
+            stack.push(tag, page[start:stop].strip())
     if block is not None:
         out.append(block)
-    return [b for b in out if not any(t in HIDDEN for t, _ in b.path)]
-
-
-def path_features(path: tuple[tuple[str, str], ...]) -> list[str]:
-    blocks = [(t, a) for t, a in path if t in BLOCKS]
-    out = {f"in:{t}" for t, _ in blocks} | {f"own:{blocks[-1][0] if blocks else ''}", f"parent:{blocks[-2][0] if len(blocks) > 1 else ''}"}
-    for _, attributes in blocks:
-        if attributes:
-            for m in NAMED.finditer(attributes):
-                out |= {f"name:{w}" for w in WORD.findall(m[1].lower()) if len(w) > 1}
-            if "hidden" in attributes.lower():
-                out.add("hidden")
+    return [b for b in out if not b.node.hidden]
+
+
+def path_features(node: Node) -> list[str]:
+    out, at = {f"own:{node.own}", f"parent:{node.above}"}, node
+    while at is not None:
+        out.update(at.added)
+        at = at.parent
     return sorted(out)
 
 
@@ -152,18 +226,25 @@ class ChainField:
     weights: dict[str, tuple[float, float]]
     steps: np.ndarray
     first: np.ndarray
-    paths: dict = field(default_factory=dict)
 
     def scores(self, block: Block, length: int) -> tuple[float, float]:
-        got = self.paths.get(block.path)
-        if got is None:
-            if len(self.paths) > 50_000:
-                self.paths.clear()
-            got = self.paths[block.path] = self._sum(path_features(block.path))
-        own = self._sum(text_features(block, length))
-        return got[0] + own[0], got[1] + own[1]
-
-    def _sum(self, names: list[str]) -> tuple[float, float]:
+        x, y = self._sum([*text_features(block, length), f"own:{block.node.own}", f"parent:{block.node.above}"])
+        a, b = self._path(block.node)
+        return x + a, y + b
+
+    def _path(self, node: Node) -> tuple[float, float]:
+        """The weights of what all open elements add; kept in the nodes, which blocks share."""
+        todo, at = [], node
+        while at is not None and at.sums is None:
+            todo.append(at)
+            at = at.parent
+        a, b = at.sums if at is not None else (0.0, 0.0)
+        for at in reversed(todo):
+            x, y = self._sum(at.added)
+            a, b = at.sums = a + x, b + y
+        return a, b
+
+    def _sum(self, names) -> tuple[float, float]:
         found = [self.weights[n] for n in names if n in self.weights]
         return sum(w[0] for w in found), sum(w[1] for w in found)
 
@@ -310,7 +391,7 @@ def train(pages: list[tuple[str, list[int]]] | None = None) -> ChainField:
         blocks = [(b, t) for b in leaf_blocks(page) if (t := b.text())]
         if len(blocks) != len(labels):
             raise ValueError(f"{len(labels)} labels for {len(blocks)} blocks")
-        rows.append([[names.setdefault(n, len(names)) for n in path_features(b.path) + text_features(b, len(t))] for b, t in blocks])
+        rows.append([[names.setdefault(n, len(names)) for n in path_features(b.node) + text_features(b, len(t))] for b, t in blocks])
     width, most = max((len(f) for r in rows for f in r), default=1), max(map(len, rows), default=1)
     ids = np.full((len(rows), most, width), len(names))
     gold, there = np.zeros((len(rows), most), np.int64), np.zeros((len(rows), most), bool)
@@ -349,7 +430,7 @@ def train(pages: list[tuple[str, list[int]]] | None = None) -> ChainField:
 def extract_text(pages: DataFrame, model: ChainField | None = None) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of pages(page_id, url, html), repeated rows included.
 
-    A null or empty page, or one without main text, has the text ''. Null ids and URLs stay. An empty table gives an empty result.
+    A null or empty page, or one without main text, has the text ''. A very long page is read whole, in one pass. Null ids and URLs stay. An empty table gives an empty result.
     """
     shared = pages.sparkSession.sparkContext.broadcast(model or train())
     picked = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
