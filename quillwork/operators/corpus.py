@@ -20,12 +20,13 @@ ID_BIN = 4096
 def chunk_documents(docs: DataFrame, width: int, min_chars: int = 1, order: str = "doc_id") -> DataFrame:
     """One row a chunk: the columns of docs but text, then chunk_index, chunk_count, text, char_count, content_hash.
 
-    Texts shorter than min_chars go before, chunks shorter than it after they are cut.
+    Texts shorter than min_chars go before, chunks shorter than it after they are cut and numbered: index and count are those
+    of the whole cut.
     """
     rest = [c for c in docs.columns if c != "text"]
     cut = docs.withColumn("text", normalize(F.col("text"))).where(F.length("text") >= min_chars)
-    parts = cut.select(*rest, F.filter(windows(F.col("text"), width), lambda x: F.length(x) >= min_chars).alias("parts"))
-    out = parts.select(*rest, F.size("parts").alias("chunk_count"), F.posexplode("parts").alias("chunk_index", "text"))
+    parts = cut.select(*rest, windows(F.col("text"), width).alias("parts"))
+    out = parts.select(*rest, F.size("parts").alias("chunk_count"), F.posexplode("parts").alias("chunk_index", "text")).where(F.length("text") >= min_chars)
     return out.select(*rest, "chunk_index", "chunk_count", "text", F.length("text").alias("char_count"), sha256(F.col("text")).alias("content_hash"))
 
 

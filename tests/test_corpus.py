@@ -92,3 +92,40 @@ def test_prompts_round_trip_and_checks(spark, tmp_path):
     assert corpus.filter_prompts(back.withColumn("ord", F.col("id")), tags=("a", "b")).count() == 1
     with pytest.raises(Exception, match="already exists"):
         sources.write_prompts(rows, f"{tmp_path}/p")
+
+
+def test_short_chunks_go_after_they_are_numbered(spark):
+    rows = corpus.chunk_documents(docs(spark, ["abcd  e fghi"]), 4, 4).select("text", "chunk_index", "chunk_count").collect()
+    assert sorted(map(tuple, rows)) == [("abcd", 0, 3), ("fghi", 2, 3)]
+
+
+def test_globs_match_whole_paths_and_last_parts(spark):
+    from quillwork.sources import corpus as source
+
+    paths = ["a.md", "x/a.md", "x/y/a.md", "x/y/b.txt", "docs/z.md", "q/docs/z.md"]
+    table = spark.createDataFrame([(p,) for p in paths], "p string")
+    hit = lambda g: [r["p"] for r in table.where(F.col("p").rlike(source.glob_pattern(g))).collect()]
+    assert hit("**/*.md") == [p for p in paths if p.endswith(".md")]
+    assert hit("docs/*.md") == ["docs/z.md", "q/docs/z.md"] and hit("y/?.txt") == ["x/y/b.txt"] and hit("[ab].md") == paths[:3] and hit("a") == []
+
+
+def test_json_lines_take_string_texts_and_name_bad_lines(spark, tmp_path):
+    from quillwork.sources import corpus as source
+
+    (tmp_path / "a.jsonl").write_text('{"text": "one"}\n\n{"text": 5}\n{"id": 1}\n  \n{"text": "two"}\n')
+    got = source.read_documents(source.discover(spark, str(tmp_path))).collect()
+    assert sorted((r["line"], r["text"]) for r in got) == [(0, "one"), (5, "two")]
+    for bad in ('{"text": ', "[1]"):
+        (tmp_path / "a.jsonl").write_text('{"text": "one"}\n' + bad + "\n")
+        with pytest.raises(Exception, match="a.jsonl:2 must be a JSON object"):
+            source.read_documents(source.discover(spark, str(tmp_path))).collect()
+
+
+def test_examples_have_default_ids(spark, tmp_path):
+    from quillwork.sources import corpus as source
+
+    (tmp_path / "e.jsonl").write_text('{"text": "one"}\n\n{"text": "two", "example_id": 7}\n{"text": "three", "example_id": "x"}\n')
+    assert sorted(map(tuple, source.read_examples(spark, str(tmp_path / "e.jsonl")).collect())) == [("7", "two"), ("example-1", "one"), ("x", "three")]
+    (tmp_path / "e.jsonl").write_text('{"text": "one"}\n{"text": null}\n')
+    with pytest.raises(Exception, match="line 2 must contain string field text"):
+        source.read_examples(spark, str(tmp_path / "e.jsonl")).collect()
