@@ -179,6 +179,8 @@ def block_table(docs: DataFrame) -> DataFrame:
             pairs = -COUNTED * np.log(max(1 / COUNTED, 1 - seen.mean()))  # linear counting: the number only sets how many buckets there are
             out = pa.RecordBatch.from_arrays([pa.array([part << 32 | k]), pa.array([data], pa.binary()), pa.array([int(pairs)])], names=["block", "data", "n_pairs"])
             k, held, parts, tokens, words = k + 1, [], [], 0, Codes({None: 0})
+            del ids, flags, sizes, codes, names, vocabulary, rank, seen, data
+            trim()
             return out
 
         for batch in batches:
@@ -500,6 +502,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 rooms.move(part, turn, seated, root)
             mean = mean + rooms.probabilities() / len(scalars)
         del rooms
+        trim()
         asked = part["kind"] == "places"
         rows = [(int(sender), "pairs", to, packed(shortened(mean[np.cumsum(unpacked(data)[0], dtype=np.int64)])), 0, 0, 0) for sender, data in zip(part["sender"][asked], part["data"][asked], strict=True)]
         trim()

@@ -58,7 +58,7 @@ def shingle_sets(texts: list[str | None], hashes: WordHashes) -> list[np.ndarray
     h = mix(hashes.of([w for x in lists for w in x]))
     joint = h.copy()
     with np.errstate(over="ignore"):
-        for k in range(1, SHINGLE):
+        for k in range(1, min(SHINGLE, len(h))):
             joint[: len(h) - k] = mix(joint[: len(h) - k] * np.uint64(3) + h[k:])
     out, at = [], 0
     for words in lists:

@@ -16,10 +16,13 @@ LOWER = (("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("abcdefghijklmnopqrstuvwxyz"))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset and the master
+    is local (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         if spark.sparkContext.getCheckpointDir() is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="quillwork-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")

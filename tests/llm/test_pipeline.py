@@ -35,6 +35,17 @@ def test_stages_in_order_over_a_small_folder(spark, tmp_path):
     assert sorted(map(str, final)) == sorted(map(str, docs.select("doc_id", "piece", "ids_crc32").collect()))
 
 
+def test_stages_take_empty_tables_and_clashing_names(spark, tmp_path):
+    import corpus_pipeline
+
+    pd.DataFrame([(k, k % 2, 0) for k in range(8)], columns=["doc_id", "quality", "toxic"]).to_parquet(f"{tmp_path}/labels.parquet")
+    pd.DataFrame([(1, "a leaked line of a benchmark item")], columns=["item_id", "text"]).to_parquet(f"{tmp_path}/benchmark.parquet")
+    docs = fx.empty(spark).withColumnRenamed("score", "QUALITY_SCORE")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() == 0 and (name == "packing" or out.columns == docs.columns)
+
+
 def test_entry_registers_every_operator():
     import __spark_entry__ as entry
 

@@ -123,6 +123,15 @@ def test_jaccard_keeps_one_of_each(spark):
     assert {d for d in kept if d is not None} == alone | {130, 131, 132} and kept[None] == 2 and max(v for k, v in kept.items() if k is not None) == 1
 
 
+def test_jaccard_keeps_unlike_texts_of_one_id_and_nothing_of_none(spark):
+    one, two = " ".join(f"w{k}" for k in range(30)), " ".join(f"v{k}" for k in range(30))
+    data = [(5, one), (5, two), (5, one), (6, one), (7, two), (5, None), (5, ""), (None, two), (8, "alone here")]
+    docs = spark.createDataFrame([(*r, "x") for r in data], "doc_id long, text string, Node string")
+    kept = Counter((r["doc_id"], r["text"]) for r in jaccard.keep_one(docs).collect())
+    assert kept == Counter([(5, one), (5, two), (5, None), (5, ""), (None, two), (8, "alone here")])
+    assert jaccard.keep_one(docs.where("false")).count() == 0 and jaccard.keep_one(docs.where("false")).columns == docs.columns
+
+
 def brute_bins(lengths, capacity):
     rooms = []
     for n in sorted(lengths, reverse=True):
