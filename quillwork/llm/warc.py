@@ -102,8 +102,9 @@ def opened(folder: str, name: str, write: bool):
     return system.open_input_file(f"{path}/{name}")
 
 
-def record_urn(page_id: int | None, url: str | None) -> str:
-    return uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id} {url}").urn
+def record_urn(page_id: int | None, url: str | None, row: int) -> str:
+    """The id of a record: that of its page and of its row's number, so that repeated rows have ids of their own."""
+    return uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id} {url} {row}").urn
 
 
 def plain(value: str) -> str:
@@ -146,22 +147,24 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
 
 
 def mark_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """(page_id, url, html, refers_to): among equal payloads of `least` bytes or more the largest page_id is kept in full."""
+    """(page_id, url, html, row, refers_to, refers_url, refers_row): among equal payloads of `least` bytes or more the largest
+    page_id is kept in full; row numbers the rows of pages. A smaller payload meets nothing: its key is its row's own."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
-    rows = rows.withColumn("same", F.when(F.octet_length("html") >= least, F.sha2(F.col("html").cast("binary"), 256)))
-    first = F.max(F.struct("page_id", "url"))
-    kept = rows.where("same is not null").groupBy("same").agg(first.alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"), F.monotonically_increasing_id().alias("row"))
+    same = F.when(F.octet_length("html") >= least, F.sha2(F.col("html").cast("binary"), 256))
+    rows = rows.withColumn("same", F.coalesce(same, F.col("row").cast("string")))
+    first = F.max(F.struct("page_id", "url", "row"))
+    kept = rows.where(F.length("same") == 64).groupBy("same").agg(first.alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     joined = rows.join(kept, "same", "left")
     other = F.col("kept.page_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept.page_id"))
-    return joined.select("page_id", "url", "html", F.when(other, F.col("kept.page_id")).alias("refers_to"), F.when(other, F.col("kept.url")).alias("refers_url"))
+    return joined.select("page_id", "url", "html", "row", *(F.when(other, F.col(f"kept.{c}")).alias(n) for c, n in (("page_id", "refers_to"), ("url", "refers_url"), ("row", "refers_row"))))
 
 
 def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """Write a record for every row of pages(page_id, url, html); returns the index, read from a table in the shared folder.
 
     A null html is an empty payload, a null url has no target header, a null page_id no page header and is never referred
-    to. Repeated rows get a record each; those with the largest page_id are all kept in full. An empty table writes no bundle.
+    to. Repeated rows get a record each, with an id of its own; those with the largest page_id are all kept in full. An empty table writes no bundle.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
@@ -169,12 +172,12 @@ def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES,
 
         part, writer, name, rows = TaskContext.get().partitionId(), None, "", []
         for batch in batches:
-            for page_id, url, html, to, to_url in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for page_id, url, html, row, to, to_url, to_row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if writer is None:
                     name = f"part-{part:05d}-{uuid.uuid4().hex}.warc.zst"
                     writer = BundleWriter(opened(folder, name, True), frame_bytes)
-                urn = record_urn(page_id, url)
-                place = writer.add(make_record(page_id, url, html.encode("utf-8", "surrogatepass"), to, urn, None if to is None else record_urn(to, to_url)))
+                urn = record_urn(page_id, url, row)
+                place = writer.add(make_record(page_id, url, html.encode("utf-8", "surrogatepass"), to, urn, None if to is None else record_urn(to, to_url, to_row)))
                 rows.append((urn, page_id, name, *place))
                 if writer.size >= bundle_bytes:
                     writer.close()

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import pytest
 
@@ -36,6 +37,20 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.write_bundles(pages(spark, []), folder).count() == 0
 
 
+def test_records_have_ids_of_their_own(spark, tmp_path):
+    folder = f"file://{tmp_path}"
+    index = warc.write_bundles(pages(spark, ROWS + ROWS[3:5] * 40 + ROWS[:3]).repartition(3), folder, frame_bytes=3000).collect()
+    assert len({r["record_id"] for r in index}) == len(index) == len(ROWS) + 83
+    full, named = set(), set()
+    for r in index:
+        with warc.opened(folder, r["bundle"], False) as file:
+            record = warc.BundleReader(file).frame(r["frame"])[r["start"] : r["start"] + r["length"]]
+        assert f"WARC-Record-ID: <{r['record_id']}>".encode() in record
+        to = re.search(rb"WARC-Refers-To: <([^>]+)>", record)
+        (named.add(to[1].decode()) if to else full.add(r["record_id"]))
+    assert len(named) == 1 and named <= full  # the one repeated payload of 1,000 bytes or more
+
+
 def test_bundles_seek_by_their_table(tmp_path):
     writer = warc.BundleWriter(warc.opened(str(tmp_path), "b.zst", True), 100)
     places = [writer.add(bytes([k]) * 60) for k in range(7)]
