@@ -219,7 +219,8 @@ def read_bundles(index: DataFrame, folder: str, keep_payload: bool = False) -> D
                         yield out
 
     bundles = index.select("bundle").distinct()
-    return bundles.repartition(max(1, bundles.count()), "bundle").mapInPandas(read, schema)  # as many tasks as bundles, however small the index
+    # By range: a hash exchange of as many partitions as that of distinct() would be left out, and that one coalesced to one task.
+    return bundles.repartitionByRange(max(1, bundles.count()), "bundle").mapInPandas(read, schema)
 
 
 def fetch_records(index: DataFrame, folder: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillwork.llm import html_crf, urls, warc
 
@@ -51,6 +52,14 @@ def test_records_have_ids_of_their_own(spark, tmp_path):
     assert len(named) == 1 and named <= full  # the one repeated payload of 1,000 bytes or more
 
 
+def test_each_bundle_is_read_by_a_task_of_its_own(spark, tmp_path):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # as many bundles as a hash exchange has partitions
+    folder = f"file://{tmp_path}"
+    index = warc.write_bundles(pages(spark, [(k, f"http://{k}", "x" * 2000 + str(k)) for k in range(200)]).repartition(parts), folder)
+    got = warc.read_bundles(index, folder).withColumn("task", F.spark_partition_id())
+    assert index.select("bundle").distinct().count() == parts == got.select("task").distinct().count() and got.count() == 200
+
+
 def test_bundles_seek_by_their_table(tmp_path):
     writer = warc.BundleWriter(warc.opened(str(tmp_path), "b.zst", True), 100)
     places = [writer.add(bytes([k]) * 60) for k in range(7)]
