@@ -330,8 +330,7 @@ def parity_numeric_diff(spark, sf_dir):
 
 
 def selection_jaccard(spark, sf_dir):
-    pool = boards.pools(board_scores(spark, sf_dir), CAPACITY).where("board_id not like 'shard_coverage%'")
-    return audit.overlap(pool, "board_id", ["example_id", "position"])
+    return audit.overlap(boards.pools(board_scores(spark, sf_dir), CAPACITY), "board_id", ["example_id", "position"])
 
 
 def coordinate_surface_diff(spark, sf_dir):

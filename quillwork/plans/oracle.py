@@ -94,7 +94,7 @@ _ASSIGNED = f"""{_MODES},
     assigned AS (SELECT obs.*, mode_id FROM obs JOIN modes USING (entropy_bin, margin_bin, top32_bin))"""
 _SUMMARY = """best AS (SELECT example_id, doc_id, shard_id, max(entropy) AS max_entropy, round(avg(entropy), 9) AS mean_entropy, arg_min(position, (-entropy, position)) AS position, arg_min(confidence, (-entropy, position)) AS confidence,
                     arg_min(top_token, (-entropy, position)) AS top_token FROM obs GROUP BY ALL)"""
-_BOARDS = f"""{_OBS}, {_SUMMARY},
+_POOLS = f"""{_SUMMARY},
     scores AS (SELECT 'global_max_entropy' AS board_id, 0 AS priority, round(max_entropy, 9) AS score, example_id, position FROM best
         UNION ALL SELECT 'global_mean_entropy', 4, round(mean_entropy, 9), example_id, position FROM best
         UNION ALL SELECT 'low_confidence', 1, round(1 - confidence, 9), example_id, position FROM best
@@ -102,6 +102,7 @@ _BOARDS = f"""{_OBS}, {_SUMMARY},
         UNION ALL SELECT 'length_bucket_entropy:1', 6, round(max_entropy, 9), example_id, position FROM best
         UNION ALL SELECT 'shard_coverage:' || shard_id, 7, round(max_entropy, 9), example_id, position FROM best),
     pool AS (SELECT *, row_number() OVER (PARTITION BY board_id ORDER BY score DESC, example_id, position) AS rank FROM scores QUALIFY rank <= 64)"""
+_BOARDS = f"{_OBS}, {_POOLS}"
 _W = tuple(w / (0.45 + 0.40 + 0.15) for w in (0.45, 0.40, 0.15))
 _C1 = f"""{_ASSIGNED},
     feat AS (SELECT a.example_id, a.token, a.position, mode_id, m.n AS mode_support,
@@ -131,6 +132,21 @@ def _edges(edges: tuple[float, ...], closed: bool) -> str:
     return f"WITH {_POS}, {_LONG}, tail AS (SELECT r.* FROM ranked r JOIN pairs USING (token, position) WHERE r > 8) " + " UNION ALL ".join(tests)
 
 
+def _topk_checks(damaged: bool) -> str:
+    """Faults of the top 8 of all seen pairs, from the ranked probabilities; or of the same rows damaged by token and position."""
+    ids = "CASE token % 5 WHEN 0 THEN list_concat([ids[1], 64], ids[3:]) WHEN 1 THEN list_concat([ids[1], ids[1]], ids[3:]) ELSE ids END" if damaged else "ids"
+    probs = "CASE WHEN token % 5 = 2 THEN list_reverse(probs) ELSE probs END" if damaged else "probs"
+    tail = "tail + CASE WHEN position % 6 = 0 THEN 0.5 ELSE 0 END" if damaged else "tail"
+    entropy = "CASE WHEN position % 6 = 1 THEN -entropy ELSE entropy END" if damaged else "entropy"
+    checks = {
+        "id_out_of_range": "len(list_filter(ids, lambda x: x < 0 OR x >= 64)) > 0", "duplicate_id": "len(list_distinct(ids)) < len(ids)", "not_descending": "len(list_filter(range(2, 9), lambda k: probs[k - 1] < probs[k])) > 0",
+        "mass_out_of_range": "top NOT BETWEEN 0 AND 1.001 OR tail NOT BETWEEN 0 AND 1.001", "mass_not_one": "abs(top + tail - 1) > 1e-3", "negative_entropy": "entropy < 0",
+    }
+    return f"""WITH {_POS}, {_LONG}, l AS (SELECT token, position, list(v ORDER BY r) FILTER (r <= 8) AS ids, list(p ORDER BY r) FILTER (r <= 8) AS probs, sum(p) FILTER (r <= 8) AS top, -sum(p * lp) AS entropy FROM ranked GROUP BY token, position),
+        m AS (SELECT *, least(greatest(1 - top, 0), 1) AS tail FROM l JOIN pairs USING (token, position)), d AS (SELECT {ids} AS ids, {probs} AS probs, top, {tail} AS tail, {entropy} AS entropy FROM m)
+        """ + " UNION ALL ".join(f"SELECT '{n}' AS check, count(*) FILTER ({c}) AS violations FROM d" for n, c in checks.items())
+
+
 SQL: dict[str, str] = {
     "corpus_normalize_chunk": f"WITH {_C400} SELECT doc_id, chunk_index, chunk_count, char_count, content_hash FROM ch",
     "corpus_exact_dedup": f"WITH {_DEDUP} SELECT corpus_id, doc_id, chunk_index, char_count, content_hash, lang FROM ids",
@@ -160,7 +176,7 @@ SQL: dict[str, str] = {
         SELECT token, position, n, CAST(dynamic_k AS INTEGER) AS dynamic_k, round(cum, 6) AS dynamic_mass, round(least(greatest(1 - cum, 0), 1), 6) AS dynamic_tail FROM k JOIN ranked USING (token, position) JOIN pairs USING (token, position) WHERE r = dynamic_k""",
     "dynamic_topk_summary": f"""WITH {_POS}, {_LONG}, k AS (SELECT token, position, CAST(least(32, greatest(1, coalesce(min(r) FILTER (cum >= 0.95), 32))) AS INTEGER) AS k FROM ranked GROUP BY ALL)
         SELECT min(k) AS least_k, max(k) AS most_k, round(sum(k * n) / CAST(sum(n) AS DOUBLE), 6) AS mean_k, CAST(sum(n) AS BIGINT) AS positions FROM k JOIN pairs USING (token, position)""",
-    "topk_check": "SELECT unnest(['id_out_of_range', 'duplicate_id', 'not_descending', 'mass_out_of_range', 'mass_not_one', 'negative_entropy']) AS check, CAST(0 AS BIGINT) AS violations",
+    "topk_check": _topk_checks(False),
     "corridor_stats": f"WITH {_POS}, {_STATS} SELECT token, position, n, {_r('top1_margin', 'top8_mass', 'top32_mass', 'stat_tail_mass', 'entropy')} FROM stat JOIN pairs USING (token, position)",
     "example_entropy_summary": f"WITH {_OBS}, {_SUMMARY} SELECT example_id, position, top_token, {_r('max_entropy', 'mean_entropy')} FROM best",
     "exemplar_positions": f"WITH {_OBS} SELECT example_id, CAST(row_number() OVER (PARTITION BY example_id ORDER BY entropy DESC, position) AS INTEGER) AS rank, position, round(entropy, 6) AS entropy FROM obs QUALIFY rank <= 2",
@@ -203,7 +219,7 @@ SQL: dict[str, str] = {
     "parity_numeric_diff": """WITH x AS (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings), y AS (SELECT label, x, round(x, 3) AS y FROM x)
         SELECT label, count(*) AS n, round(max(abs(x - y)), 9) AS max_abs, round(avg(abs(x - y)), 9) AS mean_abs, round(max(abs(x - y) / abs(x)) FILTER (abs(x) > 1e-6), 6) AS max_rel,
                round(avg(CASE WHEN abs(x - y) <= 1e-5 + 1e-4 * abs(x) THEN 1.0 ELSE 0.0 END), 6) AS within, count(*) FILTER (x IS NULL OR isnan(x)) AS n_odd FROM y GROUP BY label""",
-    "selection_jaccard": f"""WITH {_BOARDS}, s AS (SELECT board_id, example_id, position FROM pool WHERE board_id NOT LIKE 'shard_coverage%'), n AS (SELECT board_id, count(*) AS n FROM s GROUP BY board_id),
+    "selection_jaccard": f"""WITH {_BOARDS}, s AS (SELECT board_id, example_id, position FROM pool), n AS (SELECT board_id, count(*) AS n FROM s GROUP BY board_id),
         j AS (SELECT a.board_id AS "left", b.board_id AS "right", count(*) AS shared FROM s a JOIN s b USING (example_id, position) WHERE a.board_id < b.board_id GROUP BY ALL)
         SELECT "left", "right", shared, l.n + r.n - shared AS either, round(shared / (l.n + r.n - shared), 6) AS jaccard FROM j JOIN n l ON l.board_id = "left" JOIN n r ON r.board_id = "right" """,
     "coordinate_surface_diff": """WITH a AS (SELECT doc_id, count(*) AS left_n FROM documents GROUP BY doc_id), b AS (SELECT doc_id, count(*) AS right_n FROM labels GROUP BY doc_id)
