@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quillwork.functions import buckets as B
+from quillwork.sources.folders import discard, stash
 
 POOL_FACTOR = 4
-#: Pool rows that the sequential assignment takes; pools are bounded by boards * 4 * capacity, so larger shards mean fewer.
-MOST_POOL_ROWS = 1_000_000
+COORDINATE = ("example_id", "position")
 
 
 def board_scores(candidates: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def shared_candidates(pool: DataFrame) -> DataFrame:
 
 
 def assign_winners(rows: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    """Each coordinate on one board: the rows of a pool (board_id, priority, seen, rank, score, example_id, position) that win.
+    """winners() over pools that fit in one frame. Each coordinate on one board: the rows of a pool (board_id, priority, seen, rank, score, example_id, position) that win.
 
     Of the first `capacity` rows of all boards each coordinate keeps its strongest: best rank, then score, board priority and
     board order. The places this frees are filled board by board with the best rows whose coordinates no board holds; each
@@ -70,24 +70,71 @@ def assign_winners(rows: pd.DataFrame, capacity: int) -> pd.DataFrame:
     return rows.loc[won, ["board_id", "priority", "example_id", "position", "rank", "score", "boards", "backfills"]].reset_index(drop=True)
 
 
+def backfill(waiting: DataFrame) -> DataFrame:
+    """The rows of waiting(board_id, place, rank, free, example_id, position, ...) that take the boards' free places.
+
+    Deferred acceptance: each board asks for the best `free` rows that have not been refused, a coordinate that several ask for
+    stays with the first of them by place, and the others are refused and ask on. All coordinates favour boards in the same
+    order, so this ends where filling board after board would. A round is two windows over groups of at most 4 * capacity rows
+    of a board and of one row a board for a coordinate; only coordinates that several boards wait for cause another round.
+    """
+    names = waiting.columns
+    by_board, by_coordinate = Window.partitionBy("board_id").orderBy("rank"), Window.partitionBy(*COORDINATE)
+    turn = 0
+    while True:
+        asked = F.when(F.row_number().over(by_board) <= F.col("free"), F.struct("place", "rank"))
+        settled = waiting.withColumn("_asks", asked).withColumn("_first", F.min("_asks").over(by_coordinate))
+        refused = F.col("_asks").isNotNull() & (F.col("_asks") != F.col("_first"))
+        table = stash(settled.select(*names, F.col("_asks").isNotNull().alias("_asked"), refused.alias("_refused")), "backfill")
+        if turn:
+            discard(before)
+        if table.where("_refused").isEmpty():
+            return table.where("_asked").select(*names)
+        before, waiting, turn = table, table.where("not _refused").select(*names), turn + 1
+
+
+def winners(pool: DataFrame, capacity: int) -> DataFrame:
+    """Each coordinate on one board: the rows of pool(board_id, priority, seen, rank, score, example_id, position) that win, with
+    the number of pool rows of their coordinate as boards.
+
+    Of the first `capacity` rows of all boards each coordinate keeps its strongest: best rank, then score, board priority and
+    board order. Places this frees go, board after board, to the best rows whose coordinates no board holds. Nothing is
+    gathered anywhere, so there may be any number of boards. The pool is read several times: pass a table.
+    """
+    at = Window.partitionBy(*COORDINATE)
+    place, strength = F.struct("priority", "seen", "board_id"), F.struct("rank", (-F.col("score")).alias("weakness"), "priority", "seen", "board_id")
+    rows = pool.withColumn("boards", F.count(F.lit(1)).over(at).cast("int")).withColumn("_best", F.min(F.when(F.col("rank") <= capacity, strength)).over(at))
+    names = [*pool.columns, "boards"]
+    won = rows.where((F.col("rank") <= capacity) & (F.col("_best") == strength)).select(*names)
+    full = won.groupBy("board_id").agg(F.count(F.lit(1)).alias("_held"))
+    free = (F.lit(capacity) - F.coalesce("_held", F.lit(0))).alias("free")
+    waiting = rows.where("_best is null").select(*names, place.alias("place")).join(full, "board_id", "left").select(*names, "place", free).where("free > 0")
+    return won.unionByName(backfill(waiting).select(*names))
+
+
+def numbered(rows: DataFrame, order: list, name: str) -> DataFrame:
+    """rows numbered from 1 in a total order: sorted by range, then each part starts where those before it end. The only window
+    in one task is over one row a part."""
+    parts = stash(rows.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()), "numbered").withColumn("_part", F.shiftright("_id", 33))
+    sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.broadcast(sizes.select("_part", before.alias("_before")))  # one row a partition of the sort
+    within = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return parts.join(starts, "_part").withColumn(name, F.col("_before") + within + 1).drop("_id", "_part", "_before")
+
+
 def select_exemplars(scores: DataFrame, capacity: int, budget: int | None = None, fraction: float | None = None) -> DataFrame:
     """(selection_rank, example_id, position, board_id, rank, score, boards): winners of the boards, trimmed to the budget.
 
     Examples are ordered by their best (rank, priority, -score, -boards, example, position); the first
-    min(n, budget, max(1, ceil(n * fraction))) stay with all their positions. The pools are bounded and go to the driver: the
-    assignment is sequential by nature.
+    min(n, budget, max(1, ceil(n * fraction))) stay with all their positions. Without scores there are no rows.
     """
-    spark = scores.sparkSession
     seen = scores.groupBy("board_id").agg(F.min("example_id").alias("seen"))
-    pool = pools(scores, capacity).join(seen, "board_id")
-    rows = pool.limit(MOST_POOL_ROWS + 1).toPandas()
-    if len(rows) > MOST_POOL_ROWS:
-        raise ValueError(f"the boards' pools hold more than {MOST_POOL_ROWS} rows: use larger shards or a smaller capacity")
-    won = assign_winners(rows, capacity)
-    won["key"] = list(zip(won["rank"], won["priority"], -won["score"], -won["boards"], won["example_id"], won["position"], strict=True))
-    best = won.groupby("example_id")["key"].min().sort_values() if len(won) else won.set_index("example_id")["key"]
-    n = len(best)
+    won = stash(winners(stash(pools(scores, capacity).join(seen, "board_id"), "pools"), capacity), "winners")
+    key = F.struct("rank", "priority", (-F.col("score")).alias("weakness"), (-F.col("boards")).alias("scarcity"), "example_id", "position")
+    best = won.groupBy("example_id").agg(F.min(key).alias("key"))
+    ranks = numbered(best.select("example_id", "key"), ["key"], "selection_rank")
+    n = ranks.count()
     limit = min(n, budget if budget is not None else n, max(1, ceil(n * fraction)) if fraction is not None else n)
-    ranks = {e: k + 1 for k, e in enumerate(best.index[:limit])}
-    out = [(ranks[r.example_id], r.example_id, int(r.position), r.board_id, int(r.rank), float(r.score), int(r.boards)) for r in won.itertuples() if r.example_id in ranks]
-    return spark.createDataFrame(out, "selection_rank int, example_id string, position int, board_id string, rank int, score double, boards int")
+    kept = ranks.where(F.col("selection_rank") <= limit).select("example_id", F.col("selection_rank").cast("int").alias("selection_rank"))
+    return won.join(kept, "example_id").select("selection_rank", "example_id", F.col("position").cast("int").alias("position"), "board_id", F.col("rank").cast("int").alias("rank"), F.col("score").cast("double").alias("score"), "boards")

@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from decimal import ROUND_FLOOR, Decimal
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -18,9 +20,6 @@ CORRIDOR, GLOBAL = "fingerprint_corridor_representative", "global_board"
 #: Assignment states that count as no assignment.
 UNASSIGNED = ("missing", "unassigned", "failed", "invalid")
 
-#: Rows of the boards' pools that claims, which go board by board, take on the driver.
-MOST_SUPPLY_ROWS = 1_000_000
-
 
 @dataclass(frozen=True)
 class Archetype:
@@ -177,12 +176,13 @@ def board_walk(board: Supply, owner: dict[tuple[str, int], str], target: int) ->
     return rows.assign(filled=free.cumsum() - idle)
 
 
-def claim(corridor: list[tuple[int, int, str, int, float]], boards: list[Supply], total: int) -> tuple[list[dict], list[dict], list[dict]]:
+def claim(corridor: list[tuple[int, int, str, int, float]], boards: Iterable[Supply], total: int, ordered: bool = False) -> tuple[list[dict], list[dict], list[dict]]:
     """Corridor candidates (mode, rank, example, position, score) are claimed first; boards fill what is left of the total.
 
     Returns the claimed coordinates with their obligations, the lineage of skipped candidates, and a summary a board. A board
     passes over ineligible candidates and coordinates already claimed (which gain an obligation); its n-th replacement pairs
-    with its n-th skip. A coordinate of two modes is an error.
+    with its n-th skip. A coordinate of two modes is an error. Boards that come ordered, from a stream that need not fit in
+    memory, are read until the total is reached and no further.
     """
     first = pd.DataFrame(sorted(corridor), columns=["mode", "rank", "example_id", "position", "score"])
     if first.duplicated(["example_id", "position"]).any():
@@ -194,7 +194,9 @@ def claim(corridor: list[tuple[int, int, str, int, float]], boards: list[Supply]
     owner = {(c["example_id"], c["position"]): "corridor" for c in claims}
     duties = {at: c["obligations"] for at, c in zip(owner, claims, strict=True)}
     lineage, summaries = [], []
-    for board in sorted(boards, key=lambda b: (b.priority, b.board_id)):
+    for board in boards if ordered else sorted(boards, key=lambda b: (b.priority, b.board_id)):
+        if ordered and len(claims) >= total:
+            break
         target = min(board.requested, max(0, total - len(claims)))
         rows = board_walk(board, owner, target)
         taken, skipped = rows[rows["status"] == "free"], rows[rows["status"] != "free"]
@@ -223,20 +225,26 @@ def payload_key_column(example: Column, position: Column) -> Column:
     return F.concat(F.lit("coordinate_v1:"), F.sha2(F.concat(F.lit('["'), example, F.lit('",'), position.cast("string"), F.lit("]")).cast("binary"), 256))
 
 
+def supplies(boards: DataFrame, capacity: int) -> Iterator[Supply]:
+    """The boards' pools in the order of their ids, read from the sorted table part by part: a part at a time is in memory."""
+    for board, rows in groupby(boards.orderBy("board_id", "rank").toLocalIterator(), key=lambda r: r["board_id"]):
+        yield Supply(board, 0, capacity, tuple((r["example_id"], r["position"], r["rank"], r["score"], True) for r in rows))
+
+
 def claim_selected(pool: DataFrame, plan: DataFrame, boards: DataFrame, capacity: int, total: int) -> tuple[list[dict], list[dict], list[dict]]:
-    """claim() over the first slots of each mode's pool and the boards' pools; both are bounded. Boards stand in the order of
-    their ids, as published supplies carry no priority. A coordinate of two modes stops it before any claim."""
+    """claim() over the first slots of each mode's pool (256 modes at most) and any number of boards, which are read until the
+    total is reached; unreached() gives those that were not. Boards stand in the order of their ids, as published supplies carry
+    no priority. A coordinate of two modes stops it before any claim."""
     if crossing(pool).limit(1).count():
         raise ValueError("a coordinate is in the pools of more than one mode")
     corridor = pool.join(plan.select("mode_id", "slots"), "mode_id").where("rank <= slots").select("mode_id", "rank", "example_id", "position", "utility").collect()
-    held = boards.limit(MOST_SUPPLY_ROWS + 1).count()
-    if held > MOST_SUPPLY_ROWS:
-        raise ValueError(f"the boards' pools hold more than {MOST_SUPPLY_ROWS} rows: use larger shards or a smaller capacity")
-    rows = boards.orderBy("board_id", "rank").collect()
-    by: dict[str, list] = {}
-    for r in rows:
-        by.setdefault(r["board_id"], []).append((r["example_id"], r["position"], r["rank"], r["score"], True))
-    return claim([tuple(r) for r in corridor], [Supply(b, 0, capacity, tuple(c)) for b, c in by.items()], total)
+    return claim([tuple(r) for r in corridor], supplies(boards, capacity), total, ordered=True)
+
+
+def unreached(boards: DataFrame, summaries: list[dict]) -> DataFrame:
+    """(board_id) of the boards beyond the last that claims came to: their target is 0."""
+    left = boards.where(F.col("board_id") > summaries[-1]["board_id"]) if summaries else boards
+    return left.select("board_id").distinct()
 
 
 RECORD = "selection_index int, example_id string, position int, primary_claim string, roles string, modes string, boards string, obligations int, multi_role boolean, payload_key string"

@@ -13,6 +13,7 @@ from quillwork.functions.text import normalize
 from quillwork.operators import audit, boards, corpus, corridor, longtail, package, reduce, selection
 from quillwork.plans.oracle import SQL
 from quillwork.session import ship
+from quillwork.sources.folders import stash
 
 #: Parameters that the queries and their SQL share.
 CHUNK, WIDTH, VOCABULARY, FACTOR, CAPACITY, SHARD = 400, 64, 64, 8.0, 16, 1024
@@ -275,22 +276,25 @@ def _claims(spark, sf_dir):
     rows = scored(spark, sf_dir)
     pool = pools_of_modes(spark, sf_dir, rows)
     plan = selection.allocate(selection.mode_counts(rows, "n"), pool)
-    return selection.claim_selected(pool, plan, boards.pools(board_scores(spark, sf_dir), CAPACITY), 2, 32)
+    supply = stash(boards.pools(board_scores(spark, sf_dir), CAPACITY), "supply")
+    return *selection.claim_selected(pool, plan, supply, 2, 32), supply
 
 
 def c4_claims(spark, sf_dir):
-    claims, _, _ = _claims(spark, sf_dir)
+    claims, _, _, _ = _claims(spark, sf_dir)
     return spark.createDataFrame([(c["claim_order"], c["example_id"], c["position"], c["primary"], c["source"], c["backfilled"], len(c["obligations"])) for c in claims], "claim_order int, example_id string, position int, primary string, source string, backfilled boolean, obligations int")
 
 
 def c4_boards(spark, sf_dir):
-    _, lineage, summaries = _claims(spark, sf_dir)
+    _, lineage, summaries, supply = _claims(spark, sf_dir)
     waits = {s["board_id"]: sum(x["board_id"] == s["board_id"] and x["replacement"] is None for x in lineage) for s in summaries}
-    return spark.createDataFrame([(s["board_id"], s["target"], s["fulfilled"], s["collisions"], s["ineligible"], s["backfills"], s["exhausted"], waits[s["board_id"]]) for s in summaries], "board_id string, target int, fulfilled int, collisions int, ineligible int, backfills int, exhausted boolean, unresolved int")
+    reached = spark.createDataFrame([(s["board_id"], s["target"], s["fulfilled"], s["collisions"], s["ineligible"], s["backfills"], s["exhausted"], waits[s["board_id"]]) for s in summaries], "board_id string, target int, fulfilled int, collisions int, ineligible int, backfills int, exhausted boolean, unresolved int")
+    none = {c: F.lit(False if c == "exhausted" else 0) for c in reached.columns[1:]}
+    return reached.unionByName(selection.unreached(supply, summaries).withColumns(none))
 
 
 def c5_records(spark, sf_dir):
-    claims, _, _ = _claims(spark, sf_dir)
+    claims, _, _, _ = _claims(spark, sf_dir)
     return spark.createDataFrame(selection.records(claims), selection.RECORD)
 
 

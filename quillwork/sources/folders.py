@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -17,3 +18,18 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="quillwork-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
+
+
+def stash(df: DataFrame, name: str) -> DataFrame:
+    """df written as a table of the shared folder and read back: computed once, whatever reads it, and safe from lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/quillwork/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table that stash made, once nothing reads it any more."""
+    jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)

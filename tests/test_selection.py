@@ -223,3 +223,38 @@ def test_tail_classes_tags_and_caps(spark):
     assert longtail.cap_boards(ks, {"long_tail_uncertainty": 1}, ("k",)).count() == 4
     pieces = spark.createDataFrame([(p,) for p in ("http://x", "12.5", "Paris", "f(x)", "word", "McX", "<b>")], "piece string")
     assert [r[0] for r in pieces.select(longtail.piece_tag(F.col("piece"))).collect()] == ["url_or_markup_tail", "numeric_tail", "proper_name_tail", "code_or_symbol_tail", "unknown_open_class_tail", "proper_name_tail", "url_or_markup_tail"]
+
+
+def test_winners_over_tables_equal_winners_in_one_frame(spark):
+    """Many random boards, so that places freed on one take coordinates off several others, and rounds follow rounds."""
+    rng = np.random.default_rng(11)
+    for n in (5, 9):
+        frame = pool_frame({f"b{k}": (k % 3, f"e{k % 2}", [(f"e{e:02d}", float(rng.integers(0, 6))) for e in range(40) if rng.random() < 0.5]) for k in range(n)}, 3)
+        got = boards.winners(spark.createDataFrame(frame), 3).collect()
+        want = boards.assign_winners(frame.copy(), 3)
+        assert {(r["board_id"], r["example_id"], r["rank"], r["boards"]) for r in got} == {(r.board_id, r.example_id, r.rank, r.boards) for r in want.itertuples()} and len(got) == len(want)
+
+
+def test_exemplars_equal_the_ranking_in_one_frame_and_may_be_none(spark):
+    rng = np.random.default_rng(12)
+    rows = [(b, float(rng.integers(0, 9)), f"e{e:02d}", int(p)) for b in ("global_max_entropy", "low_confidence", "shard_coverage:0", "shard_coverage:1") for e in range(25) for p in range(2) if rng.random() < 0.5]
+    scores = spark.createDataFrame(rows, "board_id string, score double, example_id string, position int")
+    pool = boards.pools(scores, 4).join(scores.groupBy("board_id").agg(F.min("example_id").alias("seen")), "board_id").toPandas()
+    won = boards.assign_winners(pool, 4)
+    order = sorted((r.rank, r.priority, -r.score, -r.boards, r.example_id, r.position) for r in won.itertuples())
+    ranks = {e: k + 1 for k, e in enumerate(dict.fromkeys(x[4] for x in order))}
+    for budget, fraction, most in ((None, None, len(ranks)), (3, None, 3), (None, 0.5, -(-len(ranks) // 2))):
+        got = boards.select_exemplars(scores, 4, budget, fraction).collect()
+        assert {(r["selection_rank"], r["example_id"], r["position"], r["board_id"]) for r in got} == {(ranks[r.example_id], r.example_id, r.position, r.board_id) for r in won.itertuples() if ranks[r.example_id] <= most}
+    assert boards.select_exemplars(scores.limit(0), 4, 3, 0.5).count() == 0
+
+
+def test_claims_read_boards_until_the_total_is_reached(spark):
+    rows = [(f"b{k:03d}", f"e{k}{i}", i, i + 1, 1.0 - i / 9) for k in range(40) for i in range(3)]
+    supply = spark.createDataFrame(rows, "board_id string, example_id string, position int, rank int, score double")
+    pulled = []
+    claims, _, summaries = selection.claim([], (pulled.append(b.board_id) or b for b in selection.supplies(supply, 2)), 5, ordered=True)
+    assert len(claims) == 5 and [s["fulfilled"] for s in summaries] == [2, 2, 1] and len(pulled) == 4
+    assert [r[0] for r in selection.unreached(supply, summaries).orderBy("board_id").collect()] == [f"b{k:03d}" for k in range(3, 40)]
+    whole = [selection.Supply(b, 0, 2, tuple(r[1:] + (True,) for r in rows if r[0] == b)) for b in sorted({r[0] for r in rows})]
+    assert selection.claim([], whole, 5)[0] == claims and selection.claim([], whole, 5)[2][:3] == summaries
