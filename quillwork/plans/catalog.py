@@ -110,6 +110,7 @@ def cpu_tokens(spark, sf_dir):
 
 
 def pair_stats(spark):
+    ship(spark)  # before the plan: a Python function takes along only what was shipped when it was made
     rows = reduce.reduce_logits(reduce.synthetic_logits(spark, VOCABULARY, WIDTH, FACTOR), SPEC)
     return rows
 
