@@ -74,7 +74,7 @@ def backfill(waiting: DataFrame) -> DataFrame:
     """The rows of waiting(board_id, place, rank, free, example_id, position, ...) that take the boards' free places.
 
     Deferred acceptance: each board asks for the best `free` rows that have not been refused, a coordinate that several ask for
-    stays with the first of them by place, and the others are refused and ask on. All coordinates favour boards in the same
+    stays with the first of them by place, and refuses all later ones, also those that have not asked yet. All coordinates favour boards in the same
     order, so this ends where filling board after board would. A round is two windows over groups of at most 4 * capacity rows
     of a board and of one row a board for a coordinate; only coordinates that several boards wait for cause another round.
     """
@@ -84,11 +84,11 @@ def backfill(waiting: DataFrame) -> DataFrame:
     while True:
         asked = F.when(F.row_number().over(by_board) <= F.col("free"), F.struct("place", "rank"))
         settled = waiting.withColumn("_asks", asked).withColumn("_first", F.min("_asks").over(by_coordinate))
-        refused = F.col("_asks").isNotNull() & (F.col("_asks") != F.col("_first"))
+        refused = F.coalesce(F.struct("place", "rank") > F.col("_first"), F.lit(False))
         table = stash(settled.select(*names, F.col("_asks").isNotNull().alias("_asked"), refused.alias("_refused")), "backfill")
         if turn:
             discard(before)
-        if table.where("_refused").isEmpty():
+        if table.where("_asked and _refused").isEmpty():
             return table.where("_asked").select(*names)
         before, waiting, turn = table, table.where("not _refused").select(*names), turn + 1
 
