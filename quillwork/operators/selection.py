@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 CORRIDOR, GLOBAL = "fingerprint_corridor_representative", "global_board"
+#: Candidates of a mode's pool.
+POOL_CAP = 4
 #: Assignment states that count as no assignment.
 UNASSIGNED = ("missing", "unassigned", "failed", "invalid")
 
@@ -94,7 +96,7 @@ def score_candidates(rows: DataFrame, policy: Archetype = Archetype()) -> DataFr
     return out.withColumn("utility", F.when(F.col("eligible"), F.round(unit(utility), 9)))
 
 
-def mode_pools(scored: DataFrame, cap: int = 4) -> DataFrame:
+def mode_pools(scored: DataFrame, cap: int = POOL_CAP) -> DataFrame:
     """The best `cap` eligible candidates of each mode, ranked."""
     down = [F.col(c).desc() for c in ("utility", "membership_score", "centrality_score", "useful_difficulty")]
     w = Window.partitionBy("mode_id").orderBy(*down, "example_id", "position")
@@ -102,7 +104,7 @@ def mode_pools(scored: DataFrame, cap: int = 4) -> DataFrame:
     return out.select("mode_id", "rank", "example_id", "position", "utility", "membership_score", "centrality_score", "useful_difficulty", "quality", "mode_support")
 
 
-def leading(scored: DataFrame, cap: int = 4) -> DataFrame:
+def leading(scored: DataFrame, cap: int = POOL_CAP) -> DataFrame:
     """Of scored rows that each stand for several candidates, those whose candidates can reach a mode's pool: the `cap` best
     levels of score. The candidates themselves are then joined to these alone."""
     w = Window.partitionBy("mode_id").orderBy(*(F.col(c).desc() for c in ("utility", "membership_score", "centrality_score", "useful_difficulty")))
