@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwork.operators import audit, boards, corpus, corridor, delivery, package, selection
+from quillwork.operators import audit, boards, corpus, delivery, package, selection
 from quillwork.plans import catalog as C
 from quillwork.plans import oracle as O
 
@@ -131,10 +131,8 @@ def valid_positions(spark, sf_dir):
 
 def gathered_rows(spark, sf_dir):
     """The rows of the teacher's table that the examples' strongest positions ask for."""
-    best = C.example_summary(spark, sf_dir).select("example_id", "position")
-    wanted = C.positions(spark, sf_dir).join(best, ["example_id", "position"], "left_semi").select("token", "position")
-    stats = corridor.with_bins(C.pair_stats(spark).select("token", "position", *corridor.STATS, "confidence", "top_token"))
-    return delivery.gather(stats, wanted, ["token", "position"]).select("token", "position", "top_token", *C.r6("entropy"))
+    wanted = C.example_summary(spark, sf_dir).select("token", "position").distinct()
+    return delivery.gather(C.binned_stats(spark), wanted, ["token", "position"]).select("token", "position", "top_token", *C.r6("entropy"))
 
 
 def bucket_check(spark, sf_dir):
