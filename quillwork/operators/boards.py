@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,6 +17,8 @@ from quillwork.functions import buckets as B
 from quillwork.sources.folders import discard, stash
 
 POOL_FACTOR = 4
+#: Candidates after which a task cuts what it holds, and those it may hold after a cut.
+CUT_AT, MOST_HELD = 1 << 16, 1 << 19
 COORDINATE = ("example_id", "position")
 
 
@@ -31,6 +36,52 @@ def board_scores(candidates: DataFrame) -> DataFrame:
     return candidates.select("example_id", "position", F.explode(F.filter(boards, lambda b: b["score"].isNotNull())).alias("b")).select("b.board_id", F.round("b.score", 9).alias("score"), "example_id", "position")
 
 
+def contenders(candidates: DataFrame, capacity: int) -> DataFrame:
+    """The candidates of board_scores that can reach a pool, and each board's first example, by running cuts in each task: all others
+    have 4 * capacity better ones on each of their boards. Pools and first examples are those of all candidates; what is left to
+    sort is small. Boards too many to keep in memory are passed on uncut, in parts."""
+    most = POOL_FACTOR * capacity
+    keys = {"_quarter": B.quarter(F.col("position"), F.col("length")), "_class": B.length_class(F.col("length"))}
+    at = {c: F.round(F.col(c).cast("double"), 9) for c in ("max_entropy", "mean_entropy", "tail_mass", "effective_top_k", "position_entropy") if c in candidates.columns}
+    at["confidence"] = F.round(F.lit(1.0) - F.col("confidence").cast("double"), 9)
+    lists = [(None, c) for c in at if c != "position_entropy"] + [(k, "position_entropy") for k in ("_quarter", "_class", "shard_id")]
+    names = candidates.columns
+    helpers = {**{k: v.cast("long") for k, v in keys.items()}, "_shard": F.col("shard_id").cast("long"), **{f"_s_{c}": v for c, v in at.items()}}
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in candidates.schema.fields)
+
+    def cut(rows: pa.Table) -> pa.Table:
+        order = pc.sort_indices(rows, [("example_id", "ascending"), ("position", "ascending")]).to_numpy()
+        tie = np.empty(len(order), np.int64)
+        tie[order] = np.arange(len(order))
+        keep = np.zeros(len(order), bool)
+        for key, score in lists:
+            column = rows[f"_s_{score}"]
+            own = np.flatnonzero(~column.is_null().to_numpy())
+            s = column.to_numpy()[own].astype(float)
+            k = np.zeros(len(own), np.int64) if key is None else np.unique(pc.fill_null(rows["_shard" if key == "shard_id" else key], -(1 << 62)).to_numpy()[own], return_inverse=True)[1]
+            for by, n in ((np.lexsort((tie[own], -s, ~np.isnan(s), k)), most), (np.lexsort((tie[own], k)), 1)):
+                start = np.flatnonzero(np.r_[True, np.diff(k[by]) != 0]) if len(by) else np.zeros(0, int)
+                nth = np.arange(len(by)) - np.repeat(start, np.diff(np.r_[start, len(by)]))
+                keep[own[by[nth < n]]] = True
+        return rows.filter(pa.array(keep))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, new = [], 0
+        for batch in batches:
+            held, new = [*held, batch], new + batch.num_rows
+            if new >= CUT_AT:
+                rows = cut(pa.Table.from_batches(held))
+                if len(rows) > MOST_HELD:
+                    yield from rows.select(names).to_batches()
+                    held, new = [], 0
+                else:
+                    held, new = rows.combine_chunks().to_batches(), min(0, CUT_AT // 2 - len(rows))
+        if held:
+            yield from cut(pa.Table.from_batches(held)).select(names).to_batches()
+
+    return candidates.select("*", *(v.alias(k) for k, v in helpers.items())).mapInArrow(work, kinds)
+
+
 def pools(scores: DataFrame, capacity: int) -> DataFrame:
     """The first 4 * capacity of each board by (score descending, example, position), ranked from 1."""
     w = Window.partitionBy("board_id").orderBy(F.col("score").desc(), "example_id", "position")
