@@ -11,8 +11,9 @@ share a prefix shingle form a tile.
 * The sets of surviving pairs meet in cells of bounded size, where hashed bitmaps bound the intersection once more (the set
   bits that differ are at most the elements that do) and the intersection of the sorted arrays decides.
 * Large tiles whose nodes the links have not joined into one component are compared in full, as size-banded tiles: pieces of
-  bounded size meet two by two, none of them both of the largest component. What comes out are links, at most one a node of a
-  cell, never the pairs that were looked at.
+  bounded size meet two by two, none of them both of the largest component. Unlike texts that share a passage go before any set is
+  read: the elements that two sets have in each range of the hash bound their intersection. What comes out are links, at most one
+  a node of a cell, never the pairs that were looked at.
 
 Words, shingles and sets are 64-bit hashes. A very long text is one larger set, held as a whole by the tasks that need it.
 """
@@ -44,6 +45,8 @@ MOST_TOGETHER = 256
 HOT = 1 << 17
 #: Bits of a signature: the least power of two that is so many times the set's size, and at least so many.
 BITS_EACH, LEAST_BITS = 16, 256
+#: A set's elements are counted by ranges of the hash: a power of two of them, each for so many elements at most, on average.
+RANGE, MOST_COUNTED = 8, 255
 #: Bits of the largest Bloom filter of wanted ids; 8 MB.
 MOST_BITS = 1 << 26
 #: Sets that one task takes, about, and pairs.
@@ -106,6 +109,20 @@ def folded(bits: np.ndarray, words: int) -> np.ndarray:
     return bits
 
 
+def ranges_of(own: np.ndarray) -> np.ndarray:
+    """How many elements of a set are in each of equal ranges of the hash, at most MOST_COUNTED (uint8)."""
+    power = max(4, (len(own) // RANGE).bit_length())
+    return np.minimum(np.bincount((own >> np.uint64(64 - power)).astype(np.int64), minlength=1 << power), MOST_COUNTED).astype(np.uint8)
+
+
+def ranged(counts: list[np.ndarray]) -> np.ndarray:
+    """A row of counts for each set, all by the widest ranges among them. A set whose counts are cut off is compared by nothing: zeros
+    stand for all."""
+    width = min(map(len, counts))
+    rows = np.stack([c.astype(np.int32).reshape(width, -1).sum(1) for c in counts])
+    return np.zeros_like(rows) if max(int(c.max()) for c in counts) >= MOST_COUNTED else rows
+
+
 def prefix(own: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The first n // 5 + 1 elements in the global order: by how common, then by hash."""
     n = len(own) * (100 - PERCENT) // 100 + 1
@@ -128,8 +145,9 @@ def _each_set(batches: Iterator[pa.RecordBatch], column: int):
 
 
 def document_nodes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """A table (doc_id, n_shingles, node), node null for empty sets, and the sketch: how common each bucket is (0: not)."""
-    names, types = ["doc_id", "n_shingles", "node", "block", "salt", "filled"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    """A table (doc_id, n_shingles, node, ranges), node and ranges null for empty sets, and the sketch: how common each bucket is (0: not)."""
+    names = ["doc_id", "n_shingles", "node", "ranges", "block", "salt", "filled"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
     wide = SKETCH // BLOCKS
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,13 +156,13 @@ def document_nodes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         sketch = np.zeros(SKETCH, np.int64)
         for batch, a, b, sets in _each_set(batches, 1):
             nodes = [node_of(s) if len(s) else None for s in sets]
-            n = len(sets)
-            yield _arrays([batch.column(0).slice(a, b - a).to_pylist(), list(map(len, sets)), nodes, [None] * n, [None] * n, [None] * n], types, names)
+            n, ranges = len(sets), [ranges_of(s).tobytes() if len(s) else None for s in sets]
+            yield _arrays([batch.column(0).slice(a, b - a).to_pylist(), list(map(len, sets)), nodes, ranges, [None] * n, [None] * n, [None] * n], types, names)
             if n:
                 sketch += np.bincount((np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
         if sketch.any():
             none, salt = [None] * BLOCKS, TaskContext.get().partitionId() % SALTS
-            yield _arrays([none, none, none, range(BLOCKS), [salt] * BLOCKS, [_pressed(x) for x in sketch.reshape(BLOCKS, wide)]], types, names)
+            yield _arrays([none, none, none, none, range(BLOCKS), [salt] * BLOCKS, [_pressed(x) for x in sketch.reshape(BLOCKS, wide)]], types, names)
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(wide, np.int64)
@@ -152,14 +170,14 @@ def document_nodes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             total += _unpressed(x)
         return pd.DataFrame({"block": [part["block"].iloc[0]], "filled": [_pressed(total)]})
 
-    both = stash(docs.mapInArrow(work, "doc_id long, n_shingles long, node long, block int, salt int, filled binary"), "shingle-nodes")
+    both = stash(docs.mapInArrow(work, "doc_id long, n_shingles long, node long, ranges binary, block int, salt int, filled binary"), "shingle-nodes")
     salted = both.where("block is not null").groupBy("block", "salt").applyInPandas(add, "block int, filled binary")
     sketch = np.zeros((BLOCKS, wide), np.int64)
     for block, filled in salted.groupBy("block").applyInPandas(add, "block int, filled binary").toPandas().itertuples(index=False):  # SKETCH numbers
         sketch[block] = _unpressed(filled)
     sketch, mean = sketch.ravel(), sketch.mean()
     common = np.where(sketch >= max(LEAST_COMMON, mean + DEVIATIONS * math.sqrt(mean)), sketch, 0)
-    table = both.where("n_shingles is not null").select("doc_id", "n_shingles", "node")
+    table = both.where("n_shingles is not null").select("doc_id", "n_shingles", "node", "ranges")
     table._stashed = both._stashed
     return table, common
 
@@ -443,6 +461,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         small = large.join(least, "b").select(F.col("m").alias("p"), F.col("a").alias("q")).unionByName(least.select(F.col("m").alias("p"), F.col("b").alias("q")))
         before, edges = edges, stash(small.where("p <> q").select(F.col("p").alias("a"), F.col("q").alias("b")).distinct(), name)
         discard(before)
+        release(links.sparkSession)  # a round shuffles all edges several times
     out = edges.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct())
     out._stashed = edges._stashed
     return out
@@ -486,18 +505,28 @@ def seat_units(units: DataFrame) -> DataFrame:
     cells = cells.select("unit", F.xxhash64("unit", "p", "q").alias("cell"), F.explode(F.array_distinct(F.array("p", "q"))).alias("piece"), (F.col("p") == F.col("q")).alias("within"))
     seated = rows.join(cells, ["unit", "piece"]).select("cell", "within", F.xxhash64("piece").alias("side"), "node", "label", "size", "large")
 
-    def admit(part: pd.DataFrame) -> pd.DataFrame:
-        met = np.zeros(len(part), bool)
-        for i, later in meetings(part):
-            met[later] = True
-            met[i] |= len(later) > 0
-        return part[met]
+    return stash(seated.groupBy("cell").applyInPandas(met, seated.schema), "unit-seats")
 
-    return stash(seated.groupBy("cell").applyInPandas(admit, seated.schema), "unit-seats")
+
+def near_seats(seats: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The seats that have another to be compared with once the ranges of nodes (node, ranges) are known as well."""
+    counts = nodes.join(seats.select("node").distinct(), "node", "left_semi").select("node", "ranges").dropDuplicates(["node"])
+    left = seats.join(counts, "node").groupBy("cell").applyInPandas(lambda part: met(part).drop(columns="ranges"), seats.schema)
+    return stash(left, "near-seats")
+
+
+def met(part: pd.DataFrame) -> pd.DataFrame:
+    """The rows of a cell that meet another."""
+    found = np.zeros(len(part), bool)
+    for i, later in meetings(part):
+        found[later] = True
+        found[i] |= len(later) > 0
+    return part[found]
 
 
 def meetings(part: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
     """(row, later rows) of a cell that are of different labels, and pieces if two meet, and that sizes and counts allow."""
+    counts = ranged([np.frombuffer(x, np.uint8) for x in part["ranges"]]) if "ranges" in part else None
     size, large, label, side = (part[c].to_numpy() for c in ("size", "large", "label", "side"))
     size = size.astype(np.int64)
     rest, within = size - size * (100 - PERCENT) // 100 - 1, bool(part["within"].iloc[0])
@@ -507,7 +536,11 @@ def meetings(part: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
         ok &= (100 + PERCENT) * (np.minimum(large[i], large[k]) + np.maximum(rest[i], rest[k])) >= PERCENT * (size[i] + size[k])
         if not within:
             ok &= side[k] != side[i]
-        yield i, np.flatnonzero(ok) + i + 1
+        later = np.flatnonzero(ok) + i + 1
+        if counts is not None and len(later):  # elements that differ are at least the differences of the counts
+            differ = np.abs(counts[later] - counts[i]).sum(1, dtype=np.int64)
+            later = later[similar((size[i] + size[later] - differ) // 2, size[i], size[later])]
+        yield i, later
 
 
 def compare_units(seats: DataFrame, sets: DataFrame) -> DataFrame:
@@ -535,15 +568,17 @@ def compare_units(seats: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def similar_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Tables (doc_id, n_shingles, node) of all rows of docs(doc_id, text), node null without words, and (node, label) of the
+    """Tables (doc_id, n_shingles, node, ranges) of all rows of docs(doc_id, text), node null without words, and (node, label) of the
     nodes that links join: label is the least node of the component."""
     spark = docs.sparkSession
     rows, common = document_nodes(docs)
     found = shared_shingles(docs, common)
     release(spark)
     members = tile_members(found)
+    release(spark)  # the shuffle of a step may go only once another step has run
     pairs = candidates(found, members)
     discard(found)
+    release(spark)
     stands = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     def sets_of(nodes: DataFrame) -> DataFrame:
@@ -560,10 +595,15 @@ def similar_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     release(spark)
     units = open_units(members, labels)
     if units.limit(1).count():
+        release(spark)
         seats = seat_units(units)
-        sets = sets_of(seats.select("node"))
-        labels = components(links.unionByName(compare_units(seats, sets)))
-        discard(sets, seats)
+        release(spark)
+        near = near_seats(seats, rows.where("node is not null"))
+        if near.limit(1).count():
+            sets = sets_of(near.select("node"))
+            labels = components(links.unionByName(compare_units(near, sets)))
+            discard(sets)
+        discard(near, seats)
     discard(members, units)
     release(spark)
     return rows, labels

@@ -116,6 +116,20 @@ def test_jaccard_join_against_all_pairs(spark, monkeypatch, small):
     assert got == brute_components(fx.rows())
 
 
+def test_jaccard_reads_no_sets_of_unlike_texts_with_a_common_passage(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL_TILE", 2)
+    monkeypatch.setattr(jaccard, "LEAST_COMMON", 1000)  # as in a large table, where the passage is no more common than most buckets
+    read, plain = [], jaccard.compare_units
+    monkeypatch.setattr(jaccard, "compare_units", lambda seats, sets: read.append(seats.count()) or plain(seats, sets))
+    rng, passage = random.Random(8), " ".join(f"r{k}" for k in range(24))  # some of it in every prefix
+    prose = lambda n: " ".join(f"w{rng.getrandbits(40)}" for _ in range(n))
+    unlike = [f"{prose(40)} {passage} {prose(40 + 23 * (k % 2))}" for k in range(80)]  # 100 or 123 shingles
+    data = [(k, x, None, "s", len(x), "k", "n", "s", "t", "x") for k, x in enumerate(unlike + [unlike[3] + " more words", "and " + unlike[3]])]
+    got = Counter(tuple(r) for r in jaccard.join_near_duplicates(fx.table(spark, data)).collect())
+    assert got == brute_components(data)
+    assert sum(read) < 20  # every text of a tile met another in it by size alone
+
+
 def test_jaccard_keeps_one_of_each(spark):
     assert jaccard.join_near_duplicates(fx.empty(spark)).count() == 0
     kept = Counter(r["doc_id"] for r in jaccard.keep_one(fx.table(spark)).select("doc_id").collect())
