@@ -58,6 +58,9 @@ def trim() -> None:
     """Give freed memory back to the system, where the C library can: workers live on between tasks."""
     import ctypes
 
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
     free = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if free:
         free(0)

@@ -343,6 +343,28 @@ def test_scores_depend_on_neither_blocks_nor_buckets_nor_layout(spark, monkeypat
     assert found[0] == found[1] == found[2]
 
 
+def test_a_block_of_full_size_takes_bounded_memory():
+    import tracemalloc
+
+    rng, n = np.random.default_rng(4), hpylm.BLOCK_TOKENS
+    sizes = np.full(n // 500, 500, np.int64)
+    codes, vocabulary = (rng.random(len(sizes) * 500) ** 4 * 400_000).astype(np.int32), np.sort(hpylm.mix(np.arange(400_000, dtype=np.uint64)))
+    held = rng.random(len(sizes)) < 0.2
+    data = hpylm.packed(np.arange(len(sizes)), np.ones(len(sizes), bool), held, sizes, codes, vocabulary)
+    hot = hpylm.Hot(vocabulary[:3], np.array([4, 3, 2], np.uint64))
+    tracemalloc.start()
+    try:
+        own = hpylm.Block(data, hot, 10)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 48 * n  # bytes a token
+    keys, at, times = np.unique(hpylm.pair_keys(sizes, codes, len(vocabulary)), return_inverse=True, return_counts=True)
+    assert (own.u * np.int64(len(vocabulary) + 1) + own.w == keys).all() and (own.at == at).all()
+    kept = ~np.repeat(held, sizes)
+    assert own.counts().sum() == kept.sum() and (own.counts() <= times).all()
+
+
 def test_gibbs_samples_the_right_number_of_tables():
     """Three customers of one dish, new tables of weight alpha: the chain's mean number of tables against the exact one."""
     alpha, d, n = 1.5, 0.4, 4000
